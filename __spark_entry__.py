@@ -386,13 +386,8 @@ def embed_subset(spark, sf_dir):
 
 def embed_batches(spark, sf_dir):
     """Another batch size and partitioning, and no sharing of repeated texts: the same vectors."""
-    found = wv.embed(
-        owner_texts(spark, sf_dir),
-        owner_config(batch_size=7),
-        partitions=5,
-        model=byte_model(spark),
-        reuse_repeats=False,
-    )
+    cfg = owner_config(batch_size=7, partitions=5)
+    found = wv.embed(owner_texts(spark, sf_dir), cfg, model=byte_model(spark), reuse_repeats=False)
     return long_vectors(found, COLUMNS)
 
 
@@ -402,6 +397,20 @@ def embed_documents(spark, sf_dir):
     return long_vectors(found, ["text"])
 
 
+def embed_whole_documents(spark, sf_dir):
+    """Every document to its last byte; short ones are not padded to the length of the longest."""
+    cfg = owner_config(
+        input_columns=("text",), id_column="doc_id", max_tokens=2**20, batch_size=16, trim_padding=True
+    )
+    return long_vectors(wv.embed(table(spark, sf_dir, "documents"), cfg, model=byte_model(spark)), ["text"])
+
+
+def embed_trimmed(spark, sf_dir):
+    """Shorter padding, the same vectors."""
+    found = wv.embed(owner_texts(spark, sf_dir), owner_config(trim_padding=True), model=byte_model(spark))
+    return long_vectors(found, COLUMNS)
+
+
 def embed_long_texts(spark, sf_dir):
     """Room for 4,096 tokens, with the padding that brings."""
     rows = table(spark, sf_dir, "conversations").withColumn("gid", F.col("conv_id") * 1000 + F.col("turn"))
@@ -512,6 +521,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             embed_subset,
             embed_batches,
             embed_documents,
+            embed_whole_documents,
+            embed_trimmed,
             embed_long_texts,
             embed_subword,
             vector_width,
@@ -747,6 +758,10 @@ def oracle_sql() -> dict[str, str]:
         "embed_documents": mean_sql(
             documents, byte_ids_sql(f"{documents} AS d", slot_keys, "text", MAX_TOKENS)
         ),
+        "embed_whole_documents": mean_sql(
+            documents, flat_byte_ids_sql(f"{documents} AS d", slot_keys, "text")
+        ),
+        "embed_trimmed": owner_mean_sql(),
         "embed_long_texts": mean_sql(turns, byte_ids_sql(f"{turns} AS t", slot_keys, "text", 4096)),
         "embed_hidden_mean": owner_mean_sql(),
         "embed_hidden_cls": owner_token_sql("max(h) FILTER (WHERE pos = 0)"),

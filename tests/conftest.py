@@ -1,0 +1,53 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+
+import widevec as wv
+from widevec.testing import check_model
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("widevec-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    wv.ship_package(session)
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def model(spark):
+    return wv.model_from_bytes(spark, check_model())
+
+
+@pytest.fixture
+def config():
+    """A factory for small configurations."""
+
+    def make(**changes):
+        values = dict(
+            embedding_dim=8, max_tokens=16, batch_size=4, input_columns=("a", "b"), tokenizer_type="byt5"
+        )
+        return wv.EmbedConfig(**(values | changes))
+
+    return make

@@ -1,0 +1,65 @@
+import pytest
+from pyspark.errors import AnalysisException
+
+import widevec as wv
+
+
+def test_three_part_table_name(spark, sf, config):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_check")
+    spark.sql(f"CREATE TABLE lake_check.docs USING parquet LOCATION '{sf}/documents.parquet'")
+    found = wv.read_source(spark, config(source_table="spark_catalog.lake_check.docs"))
+    assert found.count() == 200
+    spark.sql("DROP TABLE lake_check.docs")
+
+
+def test_path_and_query(spark, sf, config):
+    assert wv.read_source(spark, config(source_path=f"{sf}/documents.parquet")).count() == 200
+    query = f"SELECT count(*) AS n FROM parquet.`{sf}/documents.parquet`"
+    assert wv.read_source(spark, config(source_query=query)).first().n == 200
+
+
+def test_bad_sources_raise(spark, config):
+    with pytest.raises(AnalysisException):
+        wv.read_source(spark, config(source_table="spark_catalog.default.absent"))
+    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+        wv.read_source(spark, config(source_query="SELEC 1"))
+    with pytest.raises(AnalysisException):
+        wv.read_source(spark, config(source_query="SELECT absent FROM range(1)"))
+    with pytest.raises(ValueError, match="exactly one"):
+        wv.read_source(spark, config())
+    with pytest.raises(ValueError, match="exactly one"):
+        wv.read_source(spark, config(source_path="x", source_table="y"))
+
+
+def test_text_batch(spark):
+    rows = spark.createDataFrame([(1, "x", 0), (None, None, 0), (3, "", 0)], "id int, words string, n int")
+    found = wv.text_batch(rows)
+    assert found.schema.simpleString() == "struct<gid:bigint,text:string>"
+    assert sorted(tuple(r) for r in found.collect()) == [(0, ""), (1, "x"), (3, "")]
+
+
+def test_text_batch_goes_by_position(spark):
+    found = wv.text_batch(spark.sql("SELECT 1 AS c, 'x' AS c, 'y' AS c"))
+    assert [tuple(r) for r in found.collect()] == [(1, "x")]
+    with pytest.raises(ValueError, match="needed"):
+        wv.text_batch(spark.range(1))
+
+
+def test_settings():
+    store = wv.object_store_conf("http://store:9000")
+    assert store["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert store["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("secret" in key or "access.key" in key for key in store)
+    assert wv.object_store_conf("e", path_style=False, ssl=True)["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert wv.catalog_conf("lake", "org.example.Catalog", uri="u") == {
+        "spark.sql.catalog.lake": "org.example.Catalog",
+        "spark.sql.catalog.lake.uri": "u",
+    }
+
+
+def test_task_settings(config):
+    conf = wv.task_conf(config(batch_size=256), gpus_per_task=0.5)
+    assert conf["spark.sql.execution.arrow.maxRecordsPerBatch"] == "4096"
+    assert conf["spark.task.resource.gpu.amount"] == "0.5"
+    assert wv.task_conf(config(batch_size=5000))["spark.sql.execution.arrow.maxRecordsPerBatch"] == "5000"
+    assert "spark.task.resource.gpu.amount" not in wv.task_conf(config())

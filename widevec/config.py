@@ -16,6 +16,9 @@ class EmbedConfig:
     ``"byt5"`` means the subword tokenizer defined by the JSON file at ``vocab_path``.
     Exactly one of the three source fields names the input, unless the job is handed a
     DataFrame.
+
+    ``trim_padding`` runs short texts at a shorter padded length than ``max_tokens``. It
+    needs a model that takes any length and ignores masked positions.
     """
 
     embedding_dim: int
@@ -33,6 +36,7 @@ class EmbedConfig:
     source_path: str = ""
     pooling_config_path: str = ""
     partitions: int | None = None
+    trim_padding: bool = False
 
     def __post_init__(self):
         for name in ("embedding_dim", "max_tokens", "batch_size"):
@@ -41,8 +45,9 @@ class EmbedConfig:
                 raise TypeError(f"{name} must be an integer, got {value!r}")
             if value <= 0:
                 raise ValueError(f"{name} must be positive, got {value}")
-        if not isinstance(self.enable_s3_output, bool):
-            raise TypeError(f"enable_s3_output must be true or false, got {self.enable_s3_output!r}")
+        for name in ("enable_s3_output", "trim_padding"):
+            if not isinstance(getattr(self, name), bool):
+                raise TypeError(f"{name} must be true or false, got {getattr(self, name)!r}")
         if isinstance(self.input_columns, str):
             raise TypeError("input_columns must be a list of names")
         object.__setattr__(self, "input_columns", tuple(self.input_columns))

@@ -34,6 +34,8 @@ class OnnxModel:
     def open(self):
         key = (self.artifact.digest, self.pooling)
         if key not in _opened:
+            # A worker outlives its tasks: let go of the model of an earlier job.
+            _opened.clear()
             _opened[key] = _OnnxSession(self.artifact.content(), self.pooling)
         return _opened[key]
 

@@ -1,91 +1,99 @@
 """The embedding operator."""
 
-from typing import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 
 from widevec.model import load_model
 from widevec.operators.perspectives import bind_columns, quoted
-from widevec.tokenizer import make_tokenizer, pad_fixed, to_list_array
-
-_SCRATCH = "_widevec_vectors"
+from widevec.tokenizer import gather_ragged, make_tokenizer, pad_fixed, to_list_array
 
-
-def vector_schema(names):
-    return T.StructType([T.StructField(name, T.ArrayType(T.FloatType())) for name in names])
+SHORTEST_BUCKET = 16
 
 
 def output_schema(cfg, columns=None):
     """``gid`` and one vector per text column, in configured order."""
     names = cfg.input_columns if columns is None else columns
-    return T.StructType([T.StructField("gid", T.LongType(), False)] + vector_schema(names).fields)
-
-
-def embed_udf(names, model, tokenizer, max_len, width, rows, reuse_repeats=True):
-    """Arrow UDF from a struct of texts to a struct of vectors.
-
-    Each call of the model takes the texts of at most ``rows`` rows. A text that repeats
-    among them, in whatever column, goes through tokenizer and model once.
-    """
-
-    def vectors_of(texts, encoder, infer):
-        ids, mask = pad_fixed(*encoder.encode(texts), max_len)
-        found = np.asarray(infer(ids, mask), np.float32)
-        if found.shape != (len(texts), width):
-            raise ValueError(f"the model gave {found.shape}, expected {(len(texts), width)}")
-        return found
-
-    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, infer = tokenizer.open(), model.open()
-        for batch in batches:
-            for start in range(0, len(batch), rows):
-                columns = batch.slice(start, rows).flatten()
-                texts = pa.concat_arrays(columns)
-                if reuse_repeats:
-                    encoded = texts.dictionary_encode()
-                    found = vectors_of(encoded.dictionary, encoder, infer)
-                    slots = encoded.indices.to_numpy().reshape(len(columns), -1)
-                else:
-                    found = vectors_of(texts, encoder, infer)
-                    slots = np.arange(len(texts)).reshape(len(columns), -1)
-                lengths = np.full(slots.shape[1], width)
-                yield pa.StructArray.from_arrays(
-                    [to_list_array(found[column].ravel(), lengths) for column in slots], names=list(names)
-                )
-
-    # Declared non-deterministic so that Catalyst never copies the call below a filter or an
-    # explode on the vectors: inference must not run twice.
-    return arrow_udf(embed, vector_schema(names)).asNondeterministic()
+    vectors = [T.StructField(name, T.ArrayType(T.FloatType())) for name in names]
+    return T.StructType([T.StructField("gid", T.LongType(), False), *vectors])
 
 
 def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, reuse_repeats=True):
     """``gid`` plus one ``array<float>`` of ``embedding_dim`` per text column.
 
-    One narrow stage and no shuffle: the id stays in the JVM, all texts of a row cross to
-    Python together and come back as vectors. Filter and pick ``columns`` before this
-    operator, since nothing is pushed through it. ``partitions`` adds a round-robin shuffle
-    of the texts, for inputs with fewer splits than the cluster has task slots; smaller
-    scan splits do the same for free.
+    One narrow stage and no shuffle. Filter and pick ``columns`` before this operator, since
+    Spark pushes nothing through it. ``partitions`` adds a round-robin shuffle of the texts,
+    for inputs with fewer splits than the cluster has task slots; smaller scan splits do the
+    same for free.
+
+    ``reuse_repeats`` runs a text that repeats within a micro-batch, in whatever column,
+    through tokenizer and model once. It is exact for a model whose vectors depend on the
+    text alone.
     """
-    bound = bind_columns(df, cfg, columns)
-    names = [name for name in bound.columns if name != "gid"]
-    model = load_model(df.sparkSession, cfg) if model is None else model
     tokenizer = make_tokenizer(df.sparkSession, cfg) if tokenizer is None else tokenizer
-    count = cfg.partitions if partitions is None else partitions
+    texts = prepare_texts(df, cfg, tokenizer, columns, partitions)
+    return infer_vectors(texts, cfg, tokenizer, model, reuse_repeats)
+
+
+def prepare_texts(df, cfg, tokenizer, columns=None, partitions=None):
+    """The bound rows as they go to Python: the id, and of every text what will be encoded."""
+    bound = bind_columns(df, cfg, columns)
+    names = bound.columns[1:]
     texts = bound.select(
-        "gid",
-        F.struct(
-            *(tokenizer.text_input(F.col(quoted(name)), cfg.max_tokens).alias(name) for name in names)
-        ).alias(_SCRATCH),
-    )
-    if count is not None:
-        texts = texts.repartition(count)
-    infer = embed_udf(
-        names, model, tokenizer, cfg.max_tokens, cfg.embedding_dim, cfg.batch_size, reuse_repeats
+        "gid", *(tokenizer.text_input(F.col(quoted(name)), cfg.max_tokens).alias(name) for name in names)
     )
-    vectors = texts.select("gid", infer(F.col(_SCRATCH)).alias(_SCRATCH))
-    return vectors.select("gid", *(F.col(_SCRATCH)[name].alias(name) for name in names))
+    count = cfg.partitions if partitions is None else partitions
+    return texts if count is None else texts.repartition(count)
+
+
+def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=True):
+    model = load_model(texts.sparkSession, cfg) if model is None else model
+    schema = output_schema(cfg, texts.columns[1:])
+    batch_size, trim_padding = cfg.batch_size, cfg.trim_padding
+    max_len, width = cfg.max_tokens, cfg.embedding_dim
+
+    def embed_batches(batches):
+        encoder, infer = tokenizer.open(), model.open()
+        for batch in batches:
+            for start in range(0, batch.num_rows, batch_size):
+                rows = batch.slice(start, batch_size)
+                slots, texts = distinct_texts(rows.columns[1:], reuse_repeats)
+                values, lengths = encoder.encode(texts)
+                if trim_padding:
+                    vectors = infer_by_length(infer, values, lengths, max_len, width)
+                else:
+                    vectors = checked(infer(*pad_fixed(values, lengths, max_len)), len(texts), width)
+                sizes = np.full(rows.num_rows, width)
+                lists = [to_list_array(vectors[column].ravel(), sizes) for column in slots]
+                yield pa.RecordBatch.from_arrays([rows.column(0), *lists], names=schema.names)
+
+    return texts.mapInArrow(embed_batches, schema)
+
+
+def distinct_texts(columns, reuse_repeats):
+    """The texts to encode, and per column where in them each row finds its own."""
+    texts = pa.concat_arrays(columns)
+    if not reuse_repeats:
+        return np.arange(len(texts)).reshape(len(columns), -1), texts
+    encoded = texts.dictionary_encode()
+    return encoded.indices.to_numpy().reshape(len(columns), -1), encoded.dictionary
+
+
+def infer_by_length(infer, values, lengths, max_len, width):
+    """Run texts of similar length together, padded to the next power of two only."""
+    starts = np.cumsum(lengths) - lengths
+    kept = np.clip(lengths, SHORTEST_BUCKET, None)
+    padded = np.minimum(2 ** np.ceil(np.log2(kept)).astype(np.int64), max_len)
+    vectors = np.empty((len(lengths), width), np.float32)
+    for size in np.unique(padded):
+        rows = np.flatnonzero(padded == size)
+        ids, mask = pad_fixed(gather_ragged(starts[rows], lengths[rows], values), lengths[rows], size)
+        vectors[rows] = checked(infer(ids, mask), len(rows), width)
+    return vectors
+
+
+def checked(vectors, count, width):
+    if vectors.shape != (count, width):
+        raise ValueError(f"the model gave {vectors.shape}, expected {(count, width)}")
+    return np.asarray(vectors, np.float32)

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from widevec.operators.embed import embed
+from widevec.operators.embed import embed, infer_vectors, prepare_texts
 from widevec.sinks.parquet import write_vectors
 from widevec.sources.lake import read_source
+from widevec.tokenizer import make_tokenizer
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class RunResult:
     metrics: RunMetrics | None = None
 
 
-def run(spark, cfg, df=None, **embed_options):
+def run(spark, cfg, df=None, model=None, tokenizer=None):
     """Run the job ``cfg`` describes, on its source or on the given DataFrame.
 
     With output enabled the vectors are written and counted on the way, in the same pass.
@@ -41,24 +42,24 @@ def run(spark, cfg, df=None, **embed_options):
     cfg.check_columns()
     rows = read_source(spark, cfg) if df is None else df
     if not cfg.enable_s3_output:
-        return RunResult(embed(rows, cfg, **embed_options))
+        return RunResult(embed(rows, cfg, model=model, tokenizer=tokenizer))
+    tokenizer = make_tokenizer(spark, cfg) if tokenizer is None else tokenizer
+    # Both counts sit in the stage that writes. Spark counts a task of that stage once however
+    # often it runs, which it does not promise for the stage before a shuffle.
     read, done = Observation(), Observation()
     count = F.count(F.lit(1)).alias("rows")
-    vectors = embed(rows.observe(read, count), cfg, **embed_options).observe(done, count)
+    texts = prepare_texts(rows, cfg, tokenizer).observe(read, count)
+    vectors = infer_vectors(texts, cfg, tokenizer, model).observe(done, count)
     started = time.perf_counter()
-    write_vectors(vectors, cfg.s3_output_path)
+    write_vectors(vectors, cfg.s3_output_path, cfg.embedding_dim)
     seconds = time.perf_counter() - started
-    written = spark.read.schema(vectors.schema).parquet(cfg.s3_output_path)
-    return RunResult(written, run_metrics(read, done, len(vectors.columns) - 1, seconds))
-
-
-def run_metrics(read, done, texts_per_row, seconds):
-    rows = done.get["rows"]
-    return RunMetrics(
+    embedded = done.get["rows"]
+    metrics = RunMetrics(
         source_rows=read.get["rows"],
-        rows_processed=rows,
-        rows_written=rows,
-        sequences=rows * texts_per_row,
+        rows_processed=embedded,
+        rows_written=embedded,
+        sequences=embedded * len(cfg.input_columns),
         seconds=seconds,
-        rows_per_second=rows / seconds if seconds > 0 else 0.0,
+        rows_per_second=embedded / seconds if seconds > 0 else 0.0,
     )
+    return RunResult(spark.read.schema(vectors.schema).parquet(cfg.s3_output_path), metrics)

@@ -2,15 +2,21 @@
 
 from pyspark.sql import types as T
 
+FILE_BYTES = 1024 * 1024 * 1024
 
-def write_vectors(df, path):
-    """Overwrite ``path`` with Snappy Parquet, one file per task.
+
+def write_vectors(df, path, width=None):
+    """Overwrite ``path`` with Snappy Parquet.
 
     Spark's commit protocol makes a lost or repeated task harmless. Vector values hardly
     repeat, so dictionary encoding is switched off for them, and left on for all else.
+    A row of vectors is far larger than the texts it came from; with ``width`` known, a task
+    closes a file after about a gigabyte and starts the next.
     """
+    vectors = [field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)]
     writer = df.write.mode("overwrite").option("compression", "snappy")
-    for field in df.schema:
-        if isinstance(field.dataType, T.ArrayType):
-            writer = writer.option(f"parquet.enable.dictionary#{field.name}.list.element", "false")
+    for name in vectors:
+        writer = writer.option(f"parquet.enable.dictionary#{name}.list.element", "false")
+    if width:
+        writer = writer.option("maxRecordsPerFile", max(1, FILE_BYTES // (8 + 4 * width * len(vectors))))
     writer.parquet(path)

@@ -130,6 +130,7 @@ class SubwordTokenizer:
 
     def open(self):
         if self not in _opened:
+            _opened.clear()
             _opened[self] = _SubwordEncoder(self)
         return _opened[self]
 
