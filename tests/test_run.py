@@ -1,10 +1,13 @@
 import glob
+import json
 import os
 
 import pyarrow.parquet as pq
 import pytest
 
 import widevec as wv
+from widevec.__main__ import main
+from widevec.testing import check_model
 
 
 @pytest.fixture(scope="module")
@@ -97,10 +100,6 @@ def test_failed_run_leaves_the_error(spark, rows, config, model, tmp_path):
 
 def test_whole_job_from_a_config_file(spark, rows, tmp_path):
     """Model, tokenizer, source and sink all named by one JSON file."""
-    import json
-
-    from widevec.testing import check_model
-
     rows.write.parquet(str(tmp_path / "in"))
     (tmp_path / "job.onnx").write_bytes(check_model())
     config = {
@@ -111,3 +110,46 @@ def test_whole_job_from_a_config_file(spark, rows, tmp_path):
     (tmp_path / "job.json").write_text(json.dumps(config))
     done = wv.run(spark, wv.EmbedConfig.from_json(str(tmp_path / "job.json")))
     assert done.metrics.rows_written == done.df.count() == 50
+
+
+def test_command(spark, rows, tmp_path, capsys):
+    rows.write.parquet(str(tmp_path / "in"))
+    (tmp_path / "command.onnx").write_bytes(check_model())
+    config = {
+        "embedding_dim": 8, "max_tokens": 16, "batch_size": 4, "vocab_path": "", "tokenizer_type": "byt5",
+        "model_path": str(tmp_path / "command.onnx"), "input_columns": ["a", "b"],
+        "source_query": f"SELECT * FROM parquet.`{tmp_path}/in`", "s3_output_path": str(tmp_path / "out"),
+    }
+    path = tmp_path / "job.json"
+    path.write_text(json.dumps(config | {"enable_s3_output": True}))
+    main([str(path)])
+    assert json.loads(capsys.readouterr().out)["rows_written"] == 50
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+    path.write_text(json.dumps(config))
+    with pytest.raises(SystemExit):
+        main([str(path)])
+
+
+def test_lost_tasks_are_run_again_and_counted_once(spark, rows, config, model, tmp_path):
+    """Every task fails the first time, halfway through its rows."""
+
+    class Flaky:
+        def open(self):
+            from pyspark import TaskContext
+
+            infer, calls = model.open(), []
+
+            def once_in_two(ids, mask):
+                calls.append(1)
+                if TaskContext.get().attemptNumber() == 0 and len(calls) == 2:
+                    raise RuntimeError("lost on purpose")
+                return infer(ids, mask)
+
+            return once_in_two
+
+    for partitions in (None, 3):
+        path = str(tmp_path / f"out-{partitions}")
+        cfg = config(enable_s3_output=True, s3_output_path=path, partitions=partitions)
+        done = wv.run(spark, cfg, rows, model=Flaky())
+        assert (done.metrics.source_rows, done.metrics.rows_written) == (50, 50)
+        assert as_rows(done.df) == as_rows(wv.embed(rows, config(), model=model))

@@ -51,6 +51,7 @@ def test_settings():
     assert store["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert not any("secret" in key or "access.key" in key for key in store)
     assert wv.object_store_conf("e", path_style=False, ssl=True)["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert wv.object_store_conf("e", magic_committer=True)["spark.hadoop.fs.s3a.committer.name"] == "magic"
     assert wv.catalog_conf("lake", "org.example.Catalog", uri="u") == {
         "spark.sql.catalog.lake": "org.example.Catalog",
         "spark.sql.catalog.lake.uri": "u",
@@ -63,3 +64,20 @@ def test_task_settings(config):
     assert conf["spark.task.resource.gpu.amount"] == "0.5"
     assert wv.task_conf(config(batch_size=5000))["spark.sql.execution.arrow.maxRecordsPerBatch"] == "5000"
     assert "spark.task.resource.gpu.amount" not in wv.task_conf(config())
+    sized = wv.task_conf(config(), slots=100)
+    assert sized["spark.sql.files.minPartitionNum"] == "100"
+    assert sized["spark.sql.files.maxPartitionNum"] == "5000"
+
+
+def test_split_settings_bound_the_tasks(spark, sf, config):
+    """Tiny splits of a table, brought back to the asked-for number of tasks."""
+    conf = wv.task_conf(config(), slots=4, split_bytes="4k", tasks_per_slot=2)
+    conf = {key: value for key, value in conf.items() if key.startswith("spark.sql.files")}
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        assert 4 <= spark.read.parquet(f"{sf}/documents.parquet").rdd.getNumPartitions() <= 8
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

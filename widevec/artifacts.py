@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
+_shipped = set()
+
 
 @dataclass(frozen=True)
 class Artifact:
@@ -67,10 +69,11 @@ def ship_package(spark):
     A cluster job installs the wheel or passes ``--py-files`` and has no need of this.
     """
     context = spark.sparkContext
-    name = f"widevec-{context.applicationId}.zip"
-    if any(os.path.basename(include) == name for include in context._python_includes):
+    if context.applicationId in _shipped:
         return
+    name = f"widevec-{context.applicationId}.zip"
     here = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(SparkFiles.getRootDirectory(), name)
     shutil.make_archive(archive[: -len(".zip")], "zip", os.path.dirname(here), os.path.basename(here))
     context.addPyFile(archive)
+    _shipped.add(context.applicationId)

@@ -48,6 +48,8 @@ class EmbedConfig:
         for name in ("enable_s3_output", "trim_padding"):
             if not isinstance(getattr(self, name), bool):
                 raise TypeError(f"{name} must be true or false, got {getattr(self, name)!r}")
+        if self.batch_size * self.embedding_dim >= 2**31:
+            raise ValueError("batch_size * embedding_dim is more than one Arrow list column holds")
         if isinstance(self.input_columns, str):
             raise TypeError("input_columns must be a list of names")
         object.__setattr__(self, "input_columns", tuple(self.input_columns))

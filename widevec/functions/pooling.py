@@ -6,6 +6,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from widevec.functions.tokens import slices
@@ -86,7 +87,7 @@ def pool_udf(mode):
                 yield pool_lists(piece, mask.slice(start, len(piece)), mode)
                 start += len(piece)
 
-    return arrow_udf(pool, "array<float>").asNondeterministic()
+    return arrow_udf(pool, T.ArrayType(T.FloatType(), False)).asNondeterministic()
 
 
 def pool_expr(hidden, mask, mode):

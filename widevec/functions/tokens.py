@@ -9,10 +9,14 @@ from typing import Iterator
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from widevec.tokenizer import BYTE_OFFSET, EOS_ID, PAD_ID, list_parts, pad_fixed, to_list_array
 
+TOKENS = T.ArrayType(T.IntegerType(), False)
+FIXED_TOKENS = T.StructType([T.StructField("ids", TOKENS), T.StructField("n", T.IntegerType())])
+
 # Text bytes encoded at a time, so that a batch of very long texts is not expanded at once.
 SLICE_BYTES = 16 * 1024 * 1024
 SLICE_ROWS = 4096
@@ -40,7 +44,7 @@ def encode_udf(tokenizer):
             for piece in slices(texts):
                 yield to_list_array(*encoder.encode(piece))
 
-    return arrow_udf(encode, "array<int>").asNondeterministic()
+    return arrow_udf(encode, TOKENS).asNondeterministic()
 
 
 def encode_fixed_udf(tokenizer, max_len):
@@ -55,7 +59,7 @@ def encode_fixed_udf(tokenizer, max_len):
                 real = pa.array(mask.sum(axis=1), pa.int32())
                 yield pa.StructArray.from_arrays([lists, real], names=["ids", "n"])
 
-    return arrow_udf(encode, "ids array<int>, n int").asNondeterministic()
+    return arrow_udf(encode, FIXED_TOKENS).asNondeterministic()
 
 
 def decode_udf(tokenizer, result_type):

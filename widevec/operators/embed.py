@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from widevec.model import load_model
 from widevec.operators.perspectives import bind_columns, quoted
-from widevec.tokenizer import gather_ragged, make_tokenizer, pad_fixed, to_list_array
+from widevec.tokenizer import gather_ragged, list_type, make_tokenizer, pad_fixed
 
 SHORTEST_BUCKET = 16
 
@@ -15,7 +15,7 @@ SHORTEST_BUCKET = 16
 def output_schema(cfg, columns=None):
     """``gid`` and one vector per text column, in configured order."""
     names = cfg.input_columns if columns is None else columns
-    vectors = [T.StructField(name, T.ArrayType(T.FloatType())) for name in names]
+    vectors = [T.StructField(name, T.ArrayType(T.FloatType(), False), False) for name in names]
     return T.StructType([T.StructField("gid", T.LongType(), False), *vectors])
 
 
@@ -64,8 +64,7 @@ def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=True):
                     vectors = infer_by_length(infer, values, lengths, max_len, width)
                 else:
                     vectors = checked(infer(*pad_fixed(values, lengths, max_len)), len(texts), width)
-                sizes = np.full(rows.num_rows, width)
-                lists = [to_list_array(vectors[column].ravel(), sizes) for column in slots]
+                lists = vector_lists(vectors, slots)
                 yield pa.RecordBatch.from_arrays([rows.column(0), *lists], names=schema.names)
 
     return texts.mapInArrow(embed_batches, schema)
@@ -93,6 +92,17 @@ def infer_by_length(infer, values, lengths, max_len, width):
     return vectors
 
 
+def vector_lists(vectors, slots):
+    """One Arrow list array per column, each row the vector its slot points to."""
+    width = vectors.shape[1]
+    offsets = pa.array(np.arange(slots.shape[1] + 1, dtype=np.int32) * width)
+    kind = list_type(vectors)
+    return [
+        pa.ListArray.from_arrays(offsets, pa.array(vectors.take(column, axis=0).ravel()), type=kind)
+        for column in slots
+    ]
+
+
 def checked(vectors, count, width):
     if vectors.shape != (count, width):
         raise ValueError(f"the model gave {vectors.shape}, expected {(count, width)}")

@@ -1,7 +1,8 @@
 """A whole run: read, embed, write if asked to, and count."""
 
+import logging
 import time
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from widevec.sinks.parquet import write_vectors
 from widevec.sources.lake import read_source
 from widevec.tokenizer import make_tokenizer
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class RunMetrics:
@@ -62,4 +65,5 @@ def run(spark, cfg, df=None, model=None, tokenizer=None):
         seconds=seconds,
         rows_per_second=embedded / seconds if seconds > 0 else 0.0,
     )
+    log.info("embedded into %s: %s", cfg.s3_output_path, asdict(metrics))
     return RunResult(spark.read.schema(vectors.schema).parquet(cfg.s3_output_path), metrics)

@@ -38,17 +38,26 @@ def object_store_conf(
     path_style=True,
     ssl=False,
     credentials="software.amazon.awssdk.auth.credentials.EnvironmentVariableCredentialsProvider",
+    magic_committer=False,
 ):
     """Session settings for an S3-compatible store, for reading and writing alike.
 
     Keys come from the named credentials provider and never appear in settings, SQL or logs.
+    ``magic_committer`` commits output without renaming files, which an object store can only
+    do by copying them; it needs Spark's cloud integration module.
     """
-    return {
+    conf = {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
         "spark.hadoop.fs.s3a.aws.credentials.provider": credentials,
     }
+    if magic_committer:
+        commit = "org.apache.spark.internal.io.cloud"
+        conf["spark.hadoop.fs.s3a.committer.name"] = "magic"
+        conf["spark.sql.sources.commitProtocolClass"] = f"{commit}.PathOutputCommitProtocol"
+        conf["spark.sql.parquet.output.committer.class"] = f"{commit}.BindingParquetOutputCommitter"
+    return conf
 
 
 def catalog_conf(name, implementation, **properties):
@@ -57,17 +66,22 @@ def catalog_conf(name, implementation, **properties):
     return {prefix: implementation} | {f"{prefix}.{key}": str(value) for key, value in properties.items()}
 
 
-def task_conf(cfg, gpus_per_task=0.0, split_bytes="16m"):
+def task_conf(cfg, slots=None, gpus_per_task=0.0, split_bytes="16m", tasks_per_slot=50):
     """Session settings that suit embedding, where a little input means a lot of work.
 
-    Small scan splits spread inference without a shuffle, and an Arrow batch that is a
-    multiple of the micro-batch leaves no short remainder in every batch.
+    Small scan splits spread inference without a shuffle. ``slots``, the tasks the cluster
+    runs at once, keeps their number sane at both ends: a large input gets splits grown to
+    about ``tasks_per_slot`` tasks per slot, a small one at least a task for each. An Arrow
+    batch that is a multiple of the micro-batch leaves no short remainder in every batch.
     """
     conf = {
         "spark.sql.files.maxPartitionBytes": split_bytes,
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(cfg.batch_size * max(1, 4096 // cfg.batch_size)),
         "spark.python.worker.reuse": "true",
     }
+    if slots:
+        conf["spark.sql.files.minPartitionNum"] = str(slots)
+        conf["spark.sql.files.maxPartitionNum"] = str(slots * tasks_per_slot)
     if gpus_per_task:
         conf["spark.task.resource.gpu.amount"] = str(gpus_per_task)
     return conf

@@ -15,8 +15,12 @@ def token_vectors(vocabulary, width):
     return ((tokens * (2 * np.arange(width) + 1)) % 64 / 64).astype(np.float32)
 
 
-def check_model(vocabulary=259, width=8, pooled=True, segment_ids=False, ids_type=INT32):
-    """ONNX bytes. Pooled gives ``embeddings`` (masked mean), else ``last_hidden_state``."""
+def check_model(vocabulary=259, width=8, pooled=True, segment_ids=False, ids_type=INT32, copies=1):
+    """ONNX bytes. Pooled gives ``embeddings`` (masked mean), else ``last_hidden_state``.
+
+    ``copies`` writes the pooled vector that many times in a row, which makes it as wide as
+    a real one at no cost to speak of.
+    """
     nodes = [_node("Gather", ["table", "input_ids"], "found")]
     inputs = [("input_ids", ids_type), ("attention_mask", ids_type)]
     hidden = "found"
@@ -36,9 +40,10 @@ def check_model(vocabulary=259, width=8, pooled=True, segment_ids=False, ids_typ
             _node("ReduceSum", ["shown", "one"], "total", keepdims=0),
             _node("ReduceSum", ["mask", "one"], "count", keepdims=1),
             _node("Max", ["count", "least"], "divisor"),
-            _node("Div", ["total", "divisor"], "embeddings"),
+            _node("Div", ["total", "divisor"], "narrow"),
+            _node("Tile", ["narrow", "copies"], "embeddings"),
         ]
-        output = _value("embeddings", FLOAT, ["sequences", width])
+        output = _value("embeddings", FLOAT, ["sequences", width * copies])
     else:
         # The mask is an input of the graph, so it has to be used.
         nodes += [
@@ -52,6 +57,7 @@ def check_model(vocabulary=259, width=8, pooled=True, segment_ids=False, ids_typ
         _tensor("table", FLOAT, token_vectors(vocabulary, width)),
         _tensor("one", INT64, np.array([1], np.int64)),
         _tensor("two", INT64, np.array([2], np.int64)),
+        _tensor("copies", INT64, np.array([1, copies], np.int64)),
         _tensor("least", FLOAT, np.array([1e-9], np.float32)),
     ]
     graph = b"".join(
