@@ -81,6 +81,14 @@ def test_small_and_large_files(spark, tmp_path):
     assert wv.ship_file(spark, str(path), limit=100).digest == large.digest
 
 
+def test_large_driver_file_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    (tmp_path / "driver-only.onnx").write_bytes(check_model())
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster")
+    with pytest.raises(ValueError, match="share"):
+        wv.ship_file(spark, str(tmp_path / "driver-only.onnx"), limit=100)
+    assert wv.ship_file(spark, str(tmp_path / "driver-only.onnx")).read() == check_model()
+
+
 def test_one_file_is_expected(spark, tmp_path):
     for name in ("a.onnx", "b.onnx"):
         (tmp_path / name).write_bytes(b"x")

@@ -50,17 +50,23 @@ def ship_bytes(spark, content):
 
 
 def ship_file(spark, path, limit=BROADCAST_LIMIT):
-    """Ship the file at ``path``, on any file system Spark can read."""
+    """Ship the file at ``path``, on any file system Spark can read.
+
+    On a cluster a file over the limit has to be on a shared file system, where every
+    executor reads it for itself. From the driver's disk they would all queue at the driver.
+    """
     files = spark.read.format("binaryFile").load(path)
     found = files.select("path", "length", "modificationTime").take(2)
     if len(found) != 1:
         raise ValueError(f"expected one file at {path}, found {len(found) or 'none'}")
-    length = found[0]["length"]
+    location, length = found[0]["path"], found[0]["length"]
     if length <= limit:
         return ship_bytes(spark, bytes(files.select(F.col("content")).first()["content"]))
-    spark.sparkContext.addFile(path)
-    stamp = f"{found[0]['path']}:{length}:{found[0]['modificationTime']}"
-    return Artifact(hashlib.sha256(stamp.encode()).hexdigest(), file_name=os.path.basename(path))
+    if location.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{location} has {length} bytes: put it on a file system the executors share")
+    spark.sparkContext.addFile(location)
+    stamp = f"{location}:{length}:{found[0]['modificationTime']}"
+    return Artifact(hashlib.sha256(stamp.encode()).hexdigest(), file_name=os.path.basename(location))
 
 
 def ship_package(spark):
