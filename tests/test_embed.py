@@ -64,6 +64,15 @@ def test_small_arrow_batches(spark, rows, expected, config, model):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
 
 
+def test_large_arrow_types(spark, rows, expected, config, model):
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        for reuse in (True, False):
+            assert vectors(wv.embed(rows, config(), model=model, reuse_repeats=reuse)) == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "false")
+
+
 def test_null_id_and_text(spark, config, model):
     one = spark.createDataFrame([(None, None, "x")], "gid long, a string, b string")
     (row,) = wv.embed(one, config(), model=model).collect()

@@ -28,8 +28,15 @@ def test_inputs_are_discovered(ids_type, segment_ids, pooled):
 def test_hidden_output_is_pooled_in_pieces(mode, monkeypatch):
     whole = session(check_model(pooled=False), mode)(IDS, MASK)
     assert whole.tolist() == pool_tensor(token_vectors(259, 8)[IDS], MASK, mode).tolist()
-    monkeypatch.setattr(model, "HIDDEN_BYTES", 1)
-    assert session(check_model(pooled=False), mode)(IDS, MASK).tolist() == whole.tolist()
+    calls = []
+    monkeypatch.setattr(model, "HIDDEN_BYTES", 2 * 4 * 8 * 4)
+    pieces = session(check_model(pooled=False), mode)
+    run = pieces._run
+    monkeypatch.setattr(pieces, "_run", lambda ids, mask: calls.append(len(ids)) or run(ids, mask))
+    assert pieces(IDS, MASK).tolist() == whole.tolist() and calls == [2, 2]
+    # A width the file does not tell is learned from one text.
+    pieces.width = None
+    assert pieces(IDS, MASK).tolist() == whole.tolist() and calls == [2, 2, 1, 2, 2]
 
 
 def test_unfit_models_raise():

@@ -165,17 +165,25 @@ def test_decode_rejects_unknown_ids(spark):
 # ---------------------------------------------------------------- subwords
 
 
-@pytest.fixture(scope="module")
-def library(spark, sf):
-    """A small WordPiece tokenizer with separators, trained on the documents."""
-    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, processors, trainers
+@pytest.fixture(scope="module", params=["word pieces", "byte pairs"])
+def library(request, spark, sf):
+    """Small tokenizers with separators, trained on the documents."""
+    from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers, processors, trainers
 
     texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
-    found = Tokenizer(models.WordPiece(unk_token="[UNK]"))
-    found.normalizer = normalizers.BertNormalizer()
-    found.pre_tokenizer = pre_tokenizers.BertPreTokenizer()
     marks = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
-    found.train_from_iterator(texts, trainers.WordPieceTrainer(vocab_size=400, special_tokens=marks))
+    if request.param == "word pieces":
+        found = Tokenizer(models.WordPiece(unk_token="[UNK]"))
+        found.normalizer = normalizers.BertNormalizer()
+        found.pre_tokenizer = pre_tokenizers.BertPreTokenizer()
+        trainer = trainers.WordPieceTrainer(vocab_size=400, special_tokens=marks)
+    else:
+        found = Tokenizer(models.BPE(unk_token="[UNK]"))
+        found.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        found.decoder = decoders.ByteLevel()
+        alphabet = pre_tokenizers.ByteLevel.alphabet()
+        trainer = trainers.BpeTrainer(vocab_size=500, special_tokens=marks, initial_alphabet=alphabet)
+    found.train_from_iterator(texts, trainer)
     found.post_processor = processors.TemplateProcessing(
         single="[CLS] $A [SEP]", special_tokens=[("[CLS]", 2), ("[SEP]", 3)]
     )

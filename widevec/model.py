@@ -60,16 +60,16 @@ class _OnnxSession:
         self.output = next((name for name in (POOLED_OUTPUT, HIDDEN_OUTPUT) if name in outputs), None)
         if self.output is None:
             raise ValueError(f"model outputs {outputs} have neither {POOLED_OUTPUT} nor {HIDDEN_OUTPUT}")
-        found = next(o for o in self.session.get_outputs() if o.name == self.output)
-        width = found.shape[-1] if found.shape else None
-        self.hidden_width = width if len(found.shape or ()) == 3 and isinstance(width, int) else None
+        shape = next(found.shape for found in self.session.get_outputs() if found.name == self.output)
+        self.gives_tokens = len(shape or ()) == 3
+        self.width = shape[-1] if shape and isinstance(shape[-1], int) else None
 
     def __call__(self, ids, mask):
-        if self.hidden_width is None:
-            return self._run(ids, mask)
-        step = max(1, HIDDEN_BYTES // (ids.shape[1] * self.hidden_width * 4))
-        if len(ids) <= step:
+        if not self.gives_tokens or len(ids) == 1:
             return self._run(ids, mask)
+        if self.width is None:
+            self.width = self._run(ids[:1], mask[:1]).shape[-1]
+        step = max(1, HIDDEN_BYTES // (ids.shape[1] * self.width * 4))
         parts = range(0, len(ids), step)
         return np.concatenate([self._run(ids[at : at + step], mask[at : at + step]) for at in parts])
 
