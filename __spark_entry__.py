@@ -134,12 +134,12 @@ def owner_rows_sql(source):
 
 
 def long_vectors(df, names):
-    """``gid``, ``column``, ``dim``, ``value``: one row per vector component."""
-    named = F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).alias("vector")) for n in names))
+    """``gid``, ``name``, ``dim``, ``value``: one row per vector component."""
+    named = F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("vector")) for n in names))
     return (
         df.select("gid", F.inline(named))
-        .select("gid", "column", F.posexplode("vector"))
-        .select("gid", "column", F.col("pos").alias("dim"), F.col("col").alias("value"))
+        .select("gid", "name", F.posexplode("vector"))
+        .select("gid", "name", F.col("pos").alias("dim"), F.col("col").alias("value"))
     )
 
 
@@ -243,7 +243,7 @@ def bind_columns(spark, sf_dir):
 
 
 def pack_slots(spark, sf_dir):
-    return wv.pack_slots(owner_texts(spark, sf_dir), COLUMNS)
+    return wv.pack_slots(owner_texts(spark, sf_dir), COLUMNS).withColumnRenamed("column", "name")
 
 
 # ---------------------------------------------------------------- queries: tokens
@@ -608,39 +608,39 @@ def id_sums_sql(keys, ids, extra=""):
 
 def slots_sql():
     parts = " UNION ALL ".join(
-        f"SELECT gid, CAST({v} AS INTEGER) AS v, '{name}' AS \"column\", {name} AS text FROM texts"
+        f"SELECT gid, CAST({v} AS INTEGER) AS v, '{name}' AS name, {name} AS text FROM texts"
         for v, name in enumerate(COLUMNS)
     )
     return f"(WITH texts AS ({owner_sql('customer')}) {parts})"
 
 
-def mean_sql(slots, ids, keys='gid, "column"'):
+def mean_sql(slots, ids):
     """Mean of the check model's token vectors, zero where a text has no token."""
     return f"""
-        SELECT slots.gid, slots."column", CAST(d AS INTEGER) AS dim,
+        SELECT slots.gid, slots.name, CAST(d AS INTEGER) AS dim,
                CAST(coalesce(total / (64.0::DOUBLE * n), 0) AS FLOAT) AS value
-        FROM (SELECT gid, "column", unnest(range({WIDTH})) AS d FROM {slots} AS s) AS slots
-        LEFT JOIN (SELECT gid, "column", w, CAST(sum((id * (2 * w + 1)) % 64) AS DOUBLE) AS total, count(*) AS n
+        FROM (SELECT gid, name, unnest(range({WIDTH})) AS d FROM {slots} AS s) AS slots
+        LEFT JOIN (SELECT gid, name, w, CAST(sum((id * (2 * w + 1)) % 64) AS DOUBLE) AS total, count(*) AS n
                    FROM ({ids}) AS tokens, (SELECT unnest(range({WIDTH})) AS w) AS dims
-                   GROUP BY gid, "column", w) AS sums
-        ON slots.gid = sums.gid AND slots."column" = sums."column" AND d = w"""
+                   GROUP BY gid, name, w) AS sums
+        ON slots.gid = sums.gid AND slots.name = sums.name AND d = w"""
 
 
 def owner_mean_sql(columns=COLUMNS):
     kept = ", ".join(f"'{name}'" for name in columns)
-    slots = f"(SELECT * FROM {slots_sql()} AS every_slot WHERE \"column\" IN ({kept}))"
-    return mean_sql(slots, byte_ids_sql(f"{slots} AS chosen", 'gid, "column"', "text", MAX_TOKENS))
+    slots = f"(SELECT * FROM {slots_sql()} AS every_slot WHERE name IN ({kept}))"
+    return mean_sql(slots, byte_ids_sql(f"{slots} AS chosen", "gid, name", "text", MAX_TOKENS))
 
 
 def owner_token_sql(choice):
     """CLS or max over the check model's token vectors; a byte text always has a token."""
     slots = f"{slots_sql()} AS chosen"
     return f"""
-        SELECT gid, "column", CAST(d AS INTEGER) AS dim, CAST({choice} / 64.0::DOUBLE AS FLOAT) AS value
+        SELECT gid, name, CAST(d AS INTEGER) AS dim, CAST({choice} / 64.0::DOUBLE AS FLOAT) AS value
         FROM (SELECT *, (id * (2 * d + 1)) % 64 AS h
-              FROM ({byte_ids_sql(slots, 'gid, "column"', "text", MAX_TOKENS)}) AS tokens,
+              FROM ({byte_ids_sql(slots, "gid, name", "text", MAX_TOKENS)}) AS tokens,
                    (SELECT unnest(range({WIDTH})) AS d) AS dims) AS vectors
-        GROUP BY gid, "column", d"""
+        GROUP BY gid, name, d"""
 
 
 def pool_sql(mode, name="pooled"):
@@ -651,7 +651,7 @@ def pool_sql(mode, name="pooled"):
         "max": f"max({shown})",
     }[mode]
     return f"""
-        SELECT vec_id AS gid, '{name}' AS "column", CAST(d AS INTEGER) AS dim, CAST({value} AS FLOAT) AS value
+        SELECT vec_id AS gid, '{name}' AS name, CAST(d AS INTEGER) AS dim, CAST({value} AS FLOAT) AS value
         FROM (SELECT vec_id, i // 8 AS t, i % 8 AS d, CAST(embedding[i + 1] AS DOUBLE) AS x
               FROM (SELECT *, unnest(range(64)) AS i FROM embeddings) AS places) AS vectors
         GROUP BY vec_id, d"""
@@ -668,9 +668,9 @@ def oracle_sql() -> dict[str, str]:
     cut_documents = byte_ids_sql("documents", "doc_id", "text", MAX_TOKENS)
     slots = f"{slots_sql()} AS slots"
     has_two = "o2 IS NOT NULL AND o2 <> ''"
-    slot_keys = 'gid, "column"'
-    turns = "(SELECT conv_id * 1000 + turn AS gid, 'text' AS \"column\", text FROM conversations)"
-    documents = "(SELECT doc_id AS gid, 'text' AS \"column\", text FROM documents)"
+    slot_keys = "gid, name"
+    turns = "(SELECT conv_id * 1000 + turn AS gid, 'text' AS name, text FROM conversations)"
+    documents = "(SELECT doc_id AS gid, 'text' AS name, text FROM documents)"
     numbered = (
         "SELECT CASE WHEN gid % 4 <> 0 THEN gid END AS row_id, *"
         f" FROM ({owner_rows_sql('customer')}) AS owners"
@@ -704,7 +704,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT coalesce(row_id, 0) AS gid, coalesce(o2, '') AS o2, coalesce(addr, '') AS addr,"
             f" coalesce(o1, '') AS o1 FROM ({numbered}) AS numbered"
         ),
-        "pack_slots": f'SELECT gid, v, "column", text FROM {slots}',
+        "pack_slots": f"SELECT gid, v, name, text FROM {slots}",
         "byt5_encode": plain_ids_sql("conv_id, turn", byte_turns),
         "byt5_encode_documents": id_sums_sql("doc_id", byte_documents),
         "byt5_encode_pages": id_sums_sql("page_id", flat_byte_ids_sql("pages", "page_id", "html")),

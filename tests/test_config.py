@@ -72,6 +72,13 @@ def test_missing_file(tmp_path):
 def test_repeated_names():
     with pytest.raises(ValueError, match="repeat"):
         wv.EmbedConfig(8, 4, 2, input_columns=("a", "a"))
+    with pytest.raises(ValueError, match="repeat"):
+        wv.EmbedConfig(8, 4, 2, input_columns=("gid",), id_column="key")
+
+
+def test_batches_fit_arrow():
+    with pytest.raises(ValueError, match="Arrow"):
+        wv.EmbedConfig(4096, 128, 2**20)
 
 
 def test_enabled_output_needs_a_path():

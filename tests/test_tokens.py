@@ -80,6 +80,8 @@ def test_max_len_must_be_positive(edges):
 def test_other_columns_stay(edges):
     found = wv.tokenize(edges.withColumn("a.b", F.lit(1)), "t", BYTES, 4)
     assert found.columns == ["i", "t", "a.b", "ids", "attention_mask", "token_type_ids"]
+    again = wv.tokenize(found, "t", BYTES, 2)
+    assert again.columns == found.columns and len(again.first().ids) == 2
 
 
 def test_large_arrow_types(spark, edges):

@@ -53,9 +53,9 @@ class EmbedConfig:
         if isinstance(self.input_columns, str):
             raise TypeError("input_columns must be a list of names")
         object.__setattr__(self, "input_columns", tuple(self.input_columns))
-        names = (self.id_column, *self.input_columns)
+        names = ("gid", *self.input_columns)
         if len(set(names)) != len(names):
-            raise ValueError(f"column names repeat in {names}")
+            raise ValueError(f"the output columns {names} repeat a name")
 
     @classmethod
     def from_json(cls, path):

@@ -95,14 +95,17 @@ def pool_expr(hidden, mask, mode):
     if mode == "cls":
         return F.coalesce(F.get(hidden, F.lit(0)), F.array().cast("array<float>"))
     tokens = F.sequence(F.lit(0), F.greatest(F.size(hidden), F.lit(1)) - 1)
-    width = F.coalesce(F.size(F.get(hidden, F.lit(0))), F.lit(0))
-    dims = F.slice(F.sequence(F.lit(0), F.greatest(width, F.lit(1)) - 1), F.lit(1), F.greatest(width, F.lit(0)))
+    width = F.greatest(F.size(F.get(hidden, F.lit(0))), F.lit(0))
+    # A sequence never is empty, so that of no dimension is cut out of that of one.
+    dims = F.slice(F.sequence(F.lit(0), F.greatest(width, F.lit(1)) - 1), F.lit(1), width)
 
     def value(i, d):
         return F.get(F.get(hidden, i), d).cast("double")
 
+    def shown(i, d):
+        return F.when(F.get(mask, i) == 0, F.lit(MASKED_OUT)).otherwise(value(i, d))
+
     if mode == "max":
-        shown = lambda i, d: F.when(F.get(mask, i) == 0, F.lit(MASKED_OUT)).otherwise(value(i, d))
         return F.transform(dims, lambda d: F.array_max(F.transform(tokens, lambda i: shown(i, d))).cast("float"))
     count = F.greatest(
         F.aggregate(mask, F.lit(0.0), lambda total, m: total + m.cast("double")), F.lit(SMALLEST_COUNT)

@@ -12,6 +12,7 @@ from widevec.functions.tokens import (
 from widevec.operators.perspectives import quoted
 from widevec.tokenizer import ByteTokenizer
 
+TOKEN_COLUMNS = ("ids", "attention_mask", "token_type_ids")
 _SCRATCH = "_widevec_tokens"
 
 
@@ -22,7 +23,7 @@ def encode(df, text_col, tokenizer):
 
 
 def tokenize(df, text_col, tokenizer, max_len):
-    """Add ``ids``, ``attention_mask`` and ``token_type_ids``, each of length ``max_len``.
+    """Add (or replace) ``ids``, ``attention_mask`` and ``token_type_ids``, each ``max_len`` long.
 
     Only the text goes to Python and only the ids come back. The mask and the segment ids
     are built next to them by Spark, and only where they are used.
@@ -33,7 +34,7 @@ def tokenize(df, text_col, tokenizer, max_len):
     tokens = encode_fixed_udf(tokenizer, max_len)(tokenizer.text_input(text, max_len))
     found = df.withColumn(_SCRATCH, tokens)
     return found.select(
-        *(F.col(quoted(name)) for name in df.columns),
+        *(F.col(quoted(name)) for name in df.columns if name not in TOKEN_COLUMNS),
         F.col(_SCRATCH).ids.alias("ids"),
         mask_expr(F.col(_SCRATCH).n, max_len).alias("attention_mask"),
         segment_ids_expr(max_len).alias("token_type_ids"),

@@ -52,6 +52,8 @@ def list_parts(array):
 
 def gather_ragged(starts, lengths, values):
     """The values of all rows back to back."""
+    if len(starts) and (starts[1:] == starts[:-1] + lengths[:-1]).all():
+        return values[starts[0] : starts[-1] + lengths[-1]]
     firsts = np.cumsum(lengths) - lengths
     return values[np.arange(lengths.sum()) + np.repeat(starts - firsts, lengths)]
 
