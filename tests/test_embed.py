@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import widevec as wv
 from widevec.model import OnnxModel
-from widevec.operators.embed import distinct_texts
+from widevec.operators import embed as embedding
+from widevec.operators.embed import distinct_texts, padded_lengths, window_rows
 from widevec.testing import check_model
 
 TEXTS = ["", "a", "Property: 123 Main St! 🏠", "é" * 30, "x" * 15, "x" * 16, "x" * 17, None]
@@ -150,6 +151,37 @@ def test_repeats_are_run_once(spark, config):
     assert {row.a[0] for row in apart} == {16.0}
 
 
+def test_repeats_are_found_across_batches(spark, config):
+    """Forty rows, ten batches, one hot text: it is run once, and every call but the last is full."""
+    rows = spark.createDataFrame([(i, "same", f"own {i}") for i in range(40)], "gid long, a string, b string")
+    found = wv.embed(rows.coalesce(1), config(max_tokens=32), model=counting_model()).collect()
+    sizes = {}
+    for row in found:
+        sizes[row.b[0]] = sizes.get(row.b[0], 0) + 1
+    assert {row.a[0] for row in found} == {8.0}
+    assert sizes == {8.0: 39, 1.0: 1}
+
+
+def test_window_is_bounded(config):
+    stock = config(batch_size=256, embedding_dim=1472, max_tokens=128)
+    assert window_rows(stock, 5) == 2048
+    assert window_rows(config(batch_size=16, max_tokens=2**20), 1) == 16
+    assert window_rows(config(batch_size=4096, embedding_dim=1472), 5) == 4096
+
+
+@pytest.mark.parametrize("window", [1, 100, 10**9])
+def test_window_does_not_show(rows, expected, config, model, window, monkeypatch):
+    monkeypatch.setattr(embedding, "WINDOW_BYTES", window)
+    assert vectors(wv.embed(rows, config(batch_size=3), model=model)) == expected
+
+
+def test_padded_lengths():
+    lengths = np.array([0, 1, 16, 17, 100, 128, 500])
+    assert padded_lengths(lengths, 128, False).tolist() == [128] * 7
+    assert padded_lengths(lengths, 128, True).tolist() == [16, 16, 16, 32, 128, 128, 128]
+    assert padded_lengths(lengths, 10, True).tolist() == [10] * 7
+
+
 def test_distinct_texts_points_back():
     columns = [pa.array([b"x", b"y", b"x"]), pa.array([b"y", b"z", b"z"])]
     for reuse in (True, False):

@@ -9,7 +9,9 @@ from widevec.model import load_model
 from widevec.operators.perspectives import bind_columns, quoted
 from widevec.tokenizer import gather_ragged, list_type, make_tokenizer, pad_fixed
 
-SHORTEST_BUCKET = 16
+SHORTEST_PADDING = 16
+# Tokens and vectors a task holds at a time.
+WINDOW_BYTES = 64 * 1024 * 1024
 
 
 def output_schema(cfg, columns=None):
@@ -27,9 +29,10 @@ def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, re
     for inputs with fewer splits than the cluster has task slots; smaller scan splits do the
     same for free.
 
-    ``reuse_repeats`` runs a text that repeats within a micro-batch, in whatever column,
-    through tokenizer and model once. It is exact for a model whose vectors depend on the
-    text alone.
+    The model is called with the texts of ``batch_size`` rows at most. ``reuse_repeats``
+    runs a text that repeats within a window of such batches, in whatever column, through
+    tokenizer and model once, and fills the calls with distinct texts. It is exact for a
+    model whose vectors depend on the text alone.
     """
     tokenizer = make_tokenizer(df.sparkSession, cfg) if tokenizer is None else tokenizer
     texts = prepare_texts(df, cfg, tokenizer, columns, partitions)
@@ -50,26 +53,33 @@ def prepare_texts(df, cfg, tokenizer, columns=None, partitions=None):
 def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=True):
     model = load_model(texts.sparkSession, cfg) if model is None else model
     schema = output_schema(cfg, texts.columns[1:])
-    batch_size, trim_padding = cfg.batch_size, cfg.trim_padding
-    max_len, width = cfg.max_tokens, cfg.embedding_dim
+    batch_size, width = cfg.batch_size, cfg.embedding_dim
+    texts_per_row = len(schema) - 1
+    window = window_rows(cfg, texts_per_row) if reuse_repeats else batch_size
 
     def embed_batches(batches):
         encoder, infer = tokenizer.open(), model.open()
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                rows = batch.slice(start, batch_size)
+            for start in range(0, batch.num_rows, window):
+                rows = batch.slice(start, window)
                 slots, texts = distinct_texts(rows.columns[1:], reuse_repeats)
                 values, lengths = encoder.encode(texts)
-                if trim_padding:
-                    vectors = infer_by_length(infer, values, lengths, max_len, width)
-                else:
-                    vectors = checked(infer(*pad_fixed(values, lengths, max_len)), len(texts), width)
-                lists = vector_lists(vectors, slots)
-                yield pa.RecordBatch.from_arrays([rows.column(0), *lists], names=schema.names)
+                padded = padded_lengths(lengths, cfg.max_tokens, cfg.trim_padding)
+                vectors = infer_texts(infer, values, lengths, padded, batch_size * texts_per_row, width)
+                for first in range(0, rows.num_rows, batch_size):
+                    lists = vector_lists(vectors, slots[:, first : first + batch_size])
+                    ids = rows.column(0).slice(first, batch_size)
+                    yield pa.RecordBatch.from_arrays([ids, *lists], names=schema.names)
 
     return texts.mapInArrow(embed_batches, schema)
 
 
+def window_rows(cfg, texts_per_row):
+    """Rows among which repeats are looked for: whole micro-batches, as many as fit in memory."""
+    row_bytes = 4 * texts_per_row * (cfg.embedding_dim + cfg.max_tokens)
+    return cfg.batch_size * max(1, WINDOW_BYTES // row_bytes // cfg.batch_size)
+
+
 def distinct_texts(columns, reuse_repeats):
     """The texts to encode, and per column where in them each row finds its own."""
     texts = pa.concat_arrays(columns)
@@ -79,16 +89,27 @@ def distinct_texts(columns, reuse_repeats):
     return encoded.indices.to_numpy().reshape(len(columns), -1), encoded.dictionary
 
 
-def infer_by_length(infer, values, lengths, max_len, width):
-    """Run texts of similar length together, padded to the next power of two only."""
+def padded_lengths(lengths, max_len, trim_padding):
+    """The length each text is padded to: the next power of two if trimmed, else the full one."""
+    if not trim_padding:
+        return np.full(len(lengths), max_len)
+    longer = np.maximum(lengths, SHORTEST_PADDING)
+    return np.minimum(2 ** np.ceil(np.log2(longer)).astype(np.int64), max_len)
+
+
+def infer_texts(infer, values, lengths, padded, most, width):
+    """One vector per text, from calls of at most ``most`` texts of one padded length."""
     starts = np.cumsum(lengths) - lengths
-    kept = np.clip(lengths, SHORTEST_BUCKET, None)
-    padded = np.minimum(2 ** np.ceil(np.log2(kept)).astype(np.int64), max_len)
     vectors = np.empty((len(lengths), width), np.float32)
     for size in np.unique(padded):
-        rows = np.flatnonzero(padded == size)
-        ids, mask = pad_fixed(gather_ragged(starts[rows], lengths[rows], values), lengths[rows], size)
-        vectors[rows] = checked(infer(ids, mask), len(rows), width)
+        same = np.flatnonzero(padded == size)
+        for at in range(0, len(same), most):
+            rows = same[at : at + most]
+            ids, mask = pad_fixed(gather_ragged(starts[rows], lengths[rows], values), lengths[rows], size)
+            found = infer(ids, mask)
+            if found.shape != (len(rows), width):
+                raise ValueError(f"the model gave {found.shape}, expected {(len(rows), width)}")
+            vectors[rows] = found
     return vectors
 
 
@@ -101,9 +122,3 @@ def vector_lists(vectors, slots):
         pa.ListArray.from_arrays(offsets, pa.array(vectors.take(column, axis=0).ravel()), type=kind)
         for column in slots
     ]
-
-
-def checked(vectors, count, width):
-    if vectors.shape != (count, width):
-        raise ValueError(f"the model gave {vectors.shape}, expected {(count, width)}")
-    return np.asarray(vectors, np.float32)

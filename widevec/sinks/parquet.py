@@ -15,8 +15,10 @@ def write_vectors(df, path, width=None):
     """
     vectors = [field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)]
     writer = df.write.mode("overwrite").option("compression", "snappy")
+    older_layout = df.sparkSession.conf.get("spark.sql.parquet.writeLegacyFormat") == "true"
+    leaf = "array" if older_layout else "list.element"
     for name in vectors:
-        writer = writer.option(f"parquet.enable.dictionary#{name}.list.element", "false")
+        writer = writer.option(f"parquet.enable.dictionary#{name}.{leaf}", "false")
     if width:
         writer = writer.option("maxRecordsPerFile", max(1, FILE_BYTES // (8 + 4 * width * len(vectors))))
     writer.parquet(path)
