@@ -1,3 +1,5 @@
+import os
+
 import oracle
 import pytest
 
@@ -22,6 +24,13 @@ def test_flagship(spark):
     assert found.count() > 0
 
 
+def test_written_tables_go_where_the_cluster_says(spark, sf):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert entry.scratch(spark).startswith(shared)
+    QUERIES["sink_roundtrip"](spark, sf)
+    assert [name for name in os.listdir(shared) if name.startswith("widevec-")]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, duck, name):
     found = oracle.comparable(QUERIES[name](spark, sf).toArrow())
