@@ -59,6 +59,23 @@ def test_ragged_rows_and_both_forms(spark, mode):
             assert list(row.pooled) == [float(np.float32(x)) for x in expected[row.i]]
 
 
+@pytest.mark.parametrize("mode", CASES)
+def test_wide_vectors_come_in_pieces(spark, mode):
+    """400 texts of 64 tokens of 1,000 dimensions are more than is pooled at a time."""
+    dims = F.sequence(F.lit(0), F.lit(999))
+    vector = lambda t: F.transform(dims, lambda d: ((F.col("id") + t * 3 + d) % 16 / 16).cast("float"))
+    rows = spark.range(0, 400, 1, 1).select(
+        "id",
+        F.transform(F.sequence(F.lit(0), F.lit(63)), vector).alias("h"),
+        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda t: (t <= F.col("id") % 64).cast("int")).alias("m"),
+    )
+    for row in wv.pool(rows, "h", "m", mode).select("id", "pooled").collect():
+        shown = (row.id + np.arange(64)[:, None] * 3 + np.arange(1000)) % 16 / 16
+        real = row.id % 64 + 1
+        expected = {"cls": shown[0], "mean": shown[:real].mean(axis=0), "max": shown[:real].max(axis=0)}[mode]
+        assert np.array_equal(np.array(row.pooled, np.float32), expected.astype(np.float32))
+
+
 def test_uneven_input_raises(spark):
     uneven = spark.createDataFrame([(0, [[1.0, 2.0], [1.0]], [1, 1])], SCHEMA)
     with pytest.raises(Exception, match="differ in width"):

@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from widevec.functions.tokens import slices
+from widevec.functions.tokens import SLICE_VALUES, slices
 from widevec.tokenizer import gather_ragged, list_parts, to_list_array
 
 # Fixed values of the pooling rules.
 MASKED_OUT = -1e9
 SMALLEST_COUNT = 1e-9
-MODES = ("mean", "cls", "max")
 MODE_FLAGS = {
     "cls": "pooling_mode_cls_token",
     "mean": "pooling_mode_mean_tokens",
@@ -82,8 +81,9 @@ def pool_udf(mode):
     def pool(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for pairs in batches:
             hidden, mask = pairs.flatten()
+            width = list_parts(hidden.values)[1].max(initial=1)
             start = 0
-            for piece in slices(hidden):
+            for piece in slices(hidden, size=SLICE_VALUES // width):
                 yield pool_lists(piece, mask.slice(start, len(piece)), mode)
                 start += len(piece)
 

@@ -17,12 +17,12 @@ from widevec.tokenizer import BYTE_OFFSET, EOS_ID, PAD_ID, list_parts, pad_fixed
 TOKENS = T.ArrayType(T.IntegerType(), False)
 FIXED_TOKENS = T.StructType([T.StructField("ids", TOKENS), T.StructField("n", T.IntegerType())])
 
-# Text bytes encoded at a time, so that a batch of very long texts is not expanded at once.
-SLICE_BYTES = 16 * 1024 * 1024
+# Values made at a time, so that a batch of very long lists is not expanded at once.
+SLICE_VALUES = 16 * 1024 * 1024
 SLICE_ROWS = 4096
 
 
-def slices(array, rows=SLICE_ROWS, size=SLICE_BYTES):
+def slices(array, rows=SLICE_ROWS, size=SLICE_VALUES):
     """Consecutive pieces of a ragged array, bounded in rows and in values; one row is never cut."""
     lengths = list_parts(array)[1]
     start = used = 0
@@ -50,10 +50,12 @@ def encode_udf(tokenizer):
 def encode_fixed_udf(tokenizer, max_len):
     """Texts to ``ids`` of length ``max_len`` and the number ``n`` of them that are real."""
 
+    rows = max(1, min(SLICE_ROWS, SLICE_VALUES // max_len))
+
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = tokenizer.open()
         for texts in batches:
-            for piece in slices(texts):
+            for piece in slices(texts, rows):
                 ids, mask = pad_fixed(*encoder.encode(piece), max_len)
                 lists = to_list_array(ids.ravel(), [max_len] * len(ids))
                 real = pa.array(mask.sum(axis=1), pa.int32())

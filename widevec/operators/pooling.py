@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from widevec.functions.pooling import pool_expr, pool_udf
 from widevec.operators.perspectives import quoted
 
+_HIDDEN, _MASK = "_widevec_hidden", "_widevec_mask"
+
 
 def pool(df, hidden_col, mask_col, mode, use_python=True):
     """Add ``pooled array<float>`` from ``array<array<float>>`` and its ``array<int>`` mask.
@@ -13,8 +15,12 @@ def pool(df, hidden_col, mask_col, mode, use_python=True):
     """
     hidden = F.col(quoted(hidden_col)).cast("array<array<float>>")
     mask = F.col(quoted(mask_col)).cast("array<int>")
-    if use_python:
-        pooled = pool_udf(mode)(F.struct(hidden.alias("hidden"), mask.alias("mask")))
-    else:
-        pooled = pool_expr(hidden, mask, mode)
-    return df.withColumn("pooled", pooled)
+    if not use_python:
+        return df.withColumn("pooled", pool_expr(hidden, mask, mode))
+    kept = [F.col(quoted(name)) for name in df.columns if name != "pooled"]
+    # Inlining one struct leaves the rows as they are, but computes both columns before the
+    # Python call. Merged into it, nested lambdas in their expressions are more than Spark
+    # 4.1 can plan.
+    pair = F.struct(hidden.alias(_HIDDEN), mask.alias(_MASK))
+    rows = df.select(*kept, F.inline(F.array(pair)))
+    return rows.select(*kept, pool_udf(mode)(F.struct(_HIDDEN, _MASK)).alias("pooled"))
