@@ -729,7 +729,8 @@ def oracle_sql() -> dict[str, str]:
         "subword_fixed": fixed_sql("documents", "doc_id", word_documents, 64),
         "subword_perspectives": fixed_sql(slots, "gid, v", word_ids_sql(slots, "gid, v", "text"), 6),
         "subword_decode": f"""
-            SELECT doc_id, coalesce(string_agg(CASE WHEN id = 1 THEN '[UNK]' ELSE word END, ' ' ORDER BY pos), '') AS text
+            SELECT doc_id,
+                   coalesce(string_agg(CASE WHEN id = 1 THEN '[UNK]' ELSE word END, ' ' ORDER BY pos), '') AS text
             FROM ({word_documents}) AS found GROUP BY doc_id""",
         "tokenizer_choice": (
             f"SELECT 'byt5' AS kind, * FROM ({id_sums_sql('conv_id, turn', byte_turns)}) AS bytes UNION ALL"

@@ -64,6 +64,7 @@ def test_task_settings(config):
     assert conf["spark.task.resource.gpu.amount"] == "0.5"
     assert wv.task_conf(config(batch_size=5000))["spark.sql.execution.arrow.maxRecordsPerBatch"] == "5000"
     assert "spark.task.resource.gpu.amount" not in wv.task_conf(config())
+    assert wv.task_conf(config(), cpus_per_task=4)["spark.task.cpus"] == "4"
     sized = wv.task_conf(config(), slots=100)
     assert sized["spark.sql.files.minPartitionNum"] == "100"
     assert sized["spark.sql.files.maxPartitionNum"] == "5000"

@@ -68,7 +68,8 @@ def test_fixed_both_forms(edges, max_len):
 
 def test_very_long_lists_come_in_pieces(spark):
     """300 lists of 65,536 are more than is made at a time."""
-    rows = spark.range(0, 300, 1, 1).select(F.col("id").alias("i"), F.repeat(F.lit("x"), F.col("id").cast("int")).alias("t"))
+    text = F.repeat(F.lit("x"), F.col("id").cast("int"))
+    rows = spark.range(0, 300, 1, 1).select(F.col("id").alias("i"), text.alias("t"))
     found = wv.tokenize(rows, "t", BYTES, 2**16)
     sums = [F.aggregate(c, F.lit(0), lambda total, x: total + x) for c in ("ids", "attention_mask")]
     for i, size, ids, real in found.select("i", F.size("ids"), *sums).collect():
