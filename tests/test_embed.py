@@ -191,6 +191,24 @@ def test_distinct_texts_points_back():
     assert len(distinct_texts(columns, True)[1]) == 3
 
 
+def test_random_texts_with_a_hot_third(spark, config, model):
+    """Any Unicode at any length, a third of all rows sharing one text, against plain Python."""
+    generator = np.random.default_rng(11)
+    planes = [(32, 127), (0, 32), (0xA0, 0x800), (0x800, 0xD800), (0xE000, 0x10000), (0x10000, 0x110000)]
+
+    def text():
+        low, high = planes[generator.integers(len(planes))]
+        return "".join(map(chr, generator.integers(low, high, generator.integers(0, 40))))
+
+    pairs = [(i, "hot text" if i % 3 == 0 else text(), text()) for i in range(900)]
+    rows = spark.createDataFrame(pairs, "gid long, a string, b string").repartition(5)
+    for trim in (True, False):
+        for max_len in (1, 7, 64):
+            cfg = config(batch_size=32, max_tokens=max_len, trim_padding=trim)
+            found = vectors(wv.embed(rows, cfg, model=model))
+            assert found == {i: [brute.byte_vector(a, max_len), brute.byte_vector(b, max_len)] for i, a, b in pairs}
+
+
 def test_subword_texts_without_words(spark, config):
     definition = (
         '{"version":"1.0","truncation":null,"padding":null,"added_tokens":[],"normalizer":null,'
