@@ -9,8 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 
 import widevec as wv
 from widevec.plans.owner_mail import COLUMNS
+from widevec.sources.scratch import scratch_path
 from widevec.testing import check_model
 
 STATES = ("BUILDING", "MACHINERY")
@@ -55,12 +54,6 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark):
-    """A new folder in the place the cluster shares, or a local one where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/widevec-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="widevec-")
-
-
 def owners(spark, sf_dir):
     """Customers seen as owner rows, with nulls and empty names put in by rule."""
     key = F.col("c_custkey")
@@ -321,7 +314,7 @@ def subword_decode(spark, sf_dir):
 
 def tokenizer_choice(spark, sf_dir):
     """``"byt5"`` is bytes, any other name the definition in the vocabulary file."""
-    path = scratch(spark) + "/definition"
+    path = scratch_path(spark, "definition")
     spark.createDataFrame([(DEFINITION,)], "definition string").coalesce(1).write.text(path)
     rows = table(spark, sf_dir, "conversations")
     found = []
@@ -444,7 +437,7 @@ def vector_width(spark, sf_dir):
 
 
 def sink_roundtrip(spark, sf_dir):
-    path = scratch(spark) + "/vectors"
+    path = scratch_path(spark, "vectors")
     wv.write_vectors(wv.embed(owner_texts(spark, sf_dir), owner_config(), model=byte_model(spark)), path)
     return long_vectors(spark.read.parquet(path), COLUMNS)
 
@@ -453,7 +446,7 @@ def run_written(spark, sf_dir):
     cfg = owner_config(
         source_query=owner_sql(f"parquet.`{sf_dir}/customer.parquet`"),
         enable_s3_output=True,
-        s3_output_path=scratch(spark) + "/vectors",
+        s3_output_path=scratch_path(spark, "vectors"),
     )
     return long_vectors(wv.run(spark, cfg, model=byte_model(spark)).df, COLUMNS)
 
@@ -468,7 +461,7 @@ def output_switch(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
-    cfg = owner_config(enable_s3_output=True, s3_output_path=scratch(spark) + "/vectors")
+    cfg = owner_config(enable_s3_output=True, s3_output_path=scratch_path(spark, "vectors"))
     done = wv.run(spark, cfg, owner_texts(spark, sf_dir), model=byte_model(spark)).metrics
     counts = (done.source_rows, done.rows_processed, done.rows_written, done.sequences)
     names = "source_rows long, rows_processed long, rows_written long, sequences long"
