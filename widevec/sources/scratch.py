@@ -14,7 +14,7 @@ def scratch_path(spark, name):
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("name a shared folder in spark.checkpoint.dir")
         shared = "file://" + tempfile.mkdtemp(prefix="widevec-")
     return f"{shared.rstrip('/')}/widevec-{uuid.uuid4().hex}/{name}"
