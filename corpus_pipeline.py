@@ -4,6 +4,7 @@ A stage takes the documents that the one before it kept and returns documents wi
 columns; the last one returns what encoding gives.
 """
 
+from widevec.artifacts import ship_package
 from widevec.llm.bpe import bpe_digests
 from widevec.llm.common import table, written
 from widevec.llm.decontamination import keep_clean
@@ -14,26 +15,31 @@ from widevec.llm.quality import keep_good
 
 def quality(spark, docs, sf_dir):
     """Drops what the standard quality policy rejects."""
+    ship_package(spark)
     return keep_good(docs)
 
 
 def language(spark, docs, sf_dir):
     """Drops texts without a letter and texts whose language cannot be told."""
+    ship_package(spark)
     return keep_identified(docs)
 
 
 def near_dedup(spark, docs, sf_dir):
     """Keeps one document of each group of near-duplicates, that of the least id."""
+    ship_package(spark)
     return keep_one_each(docs)
 
 
 def decontamination(spark, docs, sf_dir):
     """Drops documents that hold benchmark items to 5 % of their words or more."""
+    ship_package(spark)
     return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe(spark, docs, sf_dir):
     """Encodes every kept text and decodes its ids."""
+    ship_package(spark)
     return bpe_digests(docs)
 
 
