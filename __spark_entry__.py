@@ -19,6 +19,15 @@ from pyspark.sql import functions as F
 import widevec as wv
 from widevec.plans.owner_mail import COLUMNS
 from widevec.sources.scratch import scratch_path
+
+try:
+    import corpus_pipeline
+    from widevec.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # The training-text operators are an optional part; anything else that is missing is an error.
+    if missing.name != "corpus_pipeline" and not missing.name.startswith("widevec.llm"):
+        raise
+    llm = corpus_pipeline = None
 from widevec.testing import check_model
 
 STATES = ("BUILDING", "MACHINERY")
@@ -529,6 +538,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         named[f"pool_{mode}"] = pool_with(mode)
         named[f"pool_{mode}_expr"] = pool_with(mode, use_python=False)
         named[f"embed_hidden_{mode}"] = embed_hidden(mode)
+    if llm:
+        named |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return {name: _with_package(query) for name, query in named.items()}
 
 
@@ -669,7 +680,7 @@ def oracle_sql() -> dict[str, str]:
         f" FROM ({owner_rows_sql('customer')}) AS owners"
     )
     long_cut = byte_ids_sql("documents", "doc_id", "text", 4096)
-    return {
+    expected = {
         "scan_filter_in": "SELECT doc_id, lang, source, n_chars FROM documents WHERE lang IN ('de', 'fr')",
         "lake_table": "SELECT doc_id, text, lang FROM documents",
         "parquet_path": "SELECT conv_id, turn, text FROM conversations",
@@ -770,3 +781,8 @@ def oracle_sql() -> dict[str, str]:
                    CAST(5 * count(*) AS BIGINT) AS sequences
             FROM ({owner_sql("customer")}) AS texts""",
     }
+    if llm:
+        expected |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            expected["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return expected
