@@ -17,14 +17,14 @@ SYMBOLS = "#*$%&|<>"
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
-# Rule names in the order of their bits, each true where a document fails.
+# Rules in the order of their bits, as SQL over the measurements: true where a document fails.
 RULES = {
-    "few_words": F.col("n_words") < 50,
-    "repeated_words": 100 * F.col("n_repeat_words") > 50 * F.col("n_words"),
-    "symbol_heavy": F.col("n_symbols") > 2 * F.col("n_words"),
-    "short_words": F.col("word_chars") < 2 * F.col("n_words"),
-    "long_words": F.col("word_chars") > 25 * F.col("n_words"),
-    "repeated_lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
+    "few_words": "n_words < 50",
+    "repeated_words": "100 * n_repeat_words > 50 * n_words",
+    "symbol_heavy": "n_symbols > 2 * n_words",
+    "short_words": "word_chars < 2 * n_words",
+    "long_words": "word_chars > 25 * n_words",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
 }
 BASE_RULES = ("few_words", "repeated_words")
 
@@ -105,7 +105,7 @@ def _with_repeats(found):
 
 def ledger(df, text="text", rules=RULES):
     """``df`` with its measurements and ``fail_bits`` (long), a bit per failed rule."""
-    bits = [F.when(failed, F.lit(1 << at)).otherwise(F.lit(0)) for at, failed in enumerate(rules.values())]
+    bits = [F.when(F.expr(failed), F.lit(1 << at)).otherwise(F.lit(0)) for at, failed in enumerate(rules.values())]
     total = bits[0]
     for bit in bits[1:]:
         total = total.bitwiseOR(bit)
