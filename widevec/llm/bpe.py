@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 from widevec.llm.common import mixed, table
-from widevec.llm.words import INK, sha256_hex, word_encoder
+from widevec.llm.words import GAP, INK, sha256_hex, word_encoder
 
 TOKENIZER = "word_bpe_49k.json"
 # The hash looks at so many bytes; a cut comes every 256 bytes or so.
@@ -25,8 +25,8 @@ CUT_BITS = 8
 KEPT_CHUNKS = 60_000
 LONGEST_KEPT = 4096
 
-_HEAD = re.compile(f"{INK}*")
-_TAIL = re.compile(rf"{INK}*\Z")
+_HEAD = re.compile(f"{GAP}*{INK}*")
+_TAIL = re.compile(rf"{GAP}*{INK}*\Z")
 _BYTES = mixed(np.arange(256, dtype=np.uint64), 11)
 
 
@@ -58,8 +58,8 @@ class ChunkEncoder:
         self.reused = self.encoded = 0
 
     def chunk(self, content):
-        """(head, ids, tail): the piece of a word at each end, and the ids of what is between.
-        ``ids`` is None if the chunk has no white space: then all of it is head."""
+        """(head, ids, tail): the first word and the last one, each with the white space before
+        it, and the ids of what is between. ``ids`` is None if all of the chunk is one word."""
         found = self.chunks.get(content)
         if found is not None:
             self.reused += 1
@@ -71,7 +71,7 @@ class ChunkEncoder:
         if len(head) == len(text):
             found = (text, None, "")
         else:
-            tail = _TAIL.search(text).group()
+            tail = _TAIL.search(text, len(head)).group()
             inner = text[len(head) : len(text) - len(tail)]
             found = (head, self.words.unmarked(inner), tail)
         if len(content) <= LONGEST_KEPT:
