@@ -280,7 +280,7 @@ def byt5_fixed_expr(spark, sf_dir):
 
 
 def byt5_stats(spark, sf_dir):
-    """Fixed length beyond almost every text, so nearly all of each text takes part."""
+    """A fixed length of 4,096: the cut is the feature, and longer texts lose their rest."""
     found = wv.tokenize(table(spark, sf_dir, "documents"), "text", wv.ByteTokenizer(), 4096)
     real = F.aggregate("attention_mask", F.lit(0), lambda total, m: total + m)
     return id_sums(found, "doc_id", F.size("attention_mask").alias("mask_size"), real.alias("real"))

@@ -85,3 +85,9 @@ def test_enabled_output_needs_a_path():
     with pytest.raises(ValueError, match="s3_output_path"):
         wv.EmbedConfig(8, 4, 2, enable_s3_output=True).check_output()
     wv.EmbedConfig(8, 4, 2, enable_s3_output=False).check_output()
+
+
+@pytest.mark.parametrize("partitions", [0, -1, "8", True])
+def test_partitions_are_checked(config, partitions):
+    with pytest.raises((ValueError, TypeError), match="partitions"):
+        config(partitions=partitions)

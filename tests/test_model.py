@@ -101,3 +101,20 @@ def test_one_file_is_expected(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     with pytest.raises(ValueError, match="one file"):
         wv.ship_file(spark, f"{tmp_path}/*.onnx")
+
+
+def test_a_reused_worker_opens_a_model_per_device(spark, monkeypatch):
+    from widevec import model as models
+
+    monkeypatch.setattr(models, "_opened", {})
+    handle = wv.model_from_bytes(spark, check_model())
+    monkeypatch.setattr(models, "device_providers", lambda available: ["CPUExecutionProvider"])
+    found = []
+    for device in (0, 1, 0):
+        monkeypatch.setattr(models, "task_device", lambda device=device: device)
+        found.append(handle.open())
+    assert found[0] is found[2] and found[0] is not found[1]
+    for device in range(9):
+        monkeypatch.setattr(models, "task_device", lambda device=device: device)
+        handle.open()
+    assert len(models._opened) == models.KEPT_MODELS

@@ -275,3 +275,9 @@ def test_bad_definitions_raise(spark, config, tmp_path):
         wv.make_tokenizer(spark, config(tokenizer_type="x", vocab_path=str(tmp_path / "absent.json")))
     with pytest.raises(ValueError, match="vocab_path"):
         wv.make_tokenizer(spark, config(tokenizer_type="x"))
+
+
+def test_null_ids_are_refused():
+    with pytest.raises(ValueError, match="null among"):
+        wv.ByteTokenizer().decode(pa.array([[100, None, 101]], pa.list_(pa.int32())))
+    assert wv.ByteTokenizer().decode(pa.array([None, [100]], pa.list_(pa.int32()))).to_pylist() == [b"", b"a"]

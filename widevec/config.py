@@ -39,8 +39,10 @@ class EmbedConfig:
     trim_padding: bool = False
 
     def __post_init__(self):
-        for name in ("embedding_dim", "max_tokens", "batch_size"):
+        for name in ("embedding_dim", "max_tokens", "batch_size", "partitions"):
             value = getattr(self, name)
+            if name == "partitions" and value is None:
+                continue
             if isinstance(value, bool) or not isinstance(value, int):
                 raise TypeError(f"{name} must be an integer, got {value!r}")
             if value <= 0:

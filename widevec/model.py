@@ -21,6 +21,8 @@ INTEGER_TYPES = {"tensor(int32)": np.int32, "tensor(int64)": np.int64}
 # Token vectors held at a time while a model without pooling of its own is run.
 HIDDEN_BYTES = 64 * 1024 * 1024
 
+# Open models of a Python worker, the one used longest ago first.
+KEPT_MODELS = 3
 _opened = {}
 
 
@@ -32,12 +34,15 @@ class OnnxModel:
     pooling: str = "mean"
 
     def open(self):
-        key = (self.artifact.digest, self.pooling)
-        if key not in _opened:
-            # A worker outlives its tasks: let go of the model of an earlier job.
-            _opened.clear()
-            _opened[key] = _OnnxSession(self.artifact.content(), self.pooling)
-        return _opened[key]
+        # A worker outlives its tasks, and the next one may have another device.
+        key = (self.artifact.digest, self.pooling, task_device(), task_cores())
+        session = _opened.pop(key, None)
+        if session is None:
+            while len(_opened) >= KEPT_MODELS:
+                del _opened[next(iter(_opened))]
+            session = _OnnxSession(self.artifact.content(), self.pooling)
+        _opened[key] = session
+        return session
 
 
 class _OnnxSession:
@@ -85,15 +90,21 @@ def task_cores():
     return context.cpus() if context else 1
 
 
-def device_providers(available):
-    """The accelerator Spark gave this task, else the CPU."""
+def task_device():
+    """The accelerator Spark gave this task, None for the CPU."""
     context = TaskContext.get()
     gpu = context.resources().get("gpu") if context else None
-    if gpu is None:
+    return None if gpu is None else int(gpu.addresses[0])
+
+
+def device_providers(available):
+    """The model runtime's name for the task's device."""
+    device = task_device()
+    if device is None:
         return ["CPUExecutionProvider"]
     if "CUDAExecutionProvider" not in available:
-        raise RuntimeError(f"the task has GPU {gpu.addresses} but the model runtime offers {available}")
-    return [("CUDAExecutionProvider", {"device_id": int(gpu.addresses[0])})]
+        raise RuntimeError(f"the task has GPU {device} but the model runtime offers {available}")
+    return [("CUDAExecutionProvider", {"device_id": device})]
 
 
 def load_model(spark, cfg):

@@ -73,6 +73,12 @@ def to_list_array(values, lengths):
     )
 
 
+def refuse_null_ids(ids):
+    """A null list decodes to an empty text, but a null inside one stands for no text at all."""
+    if ids.flatten().null_count:
+        raise ValueError("null among the ids")
+
+
 def pad_fixed(values, lengths, max_len):
     """Cut or pad every id list to ``max_len``. Returns ids and mask, both ``[texts, max_len]``."""
     kept = np.minimum(lengths, max_len)
@@ -109,6 +115,7 @@ class ByteTokenizer:
 
     def decode(self, ids):
         """The bytes behind the ids; pad, end and unknown marks have none."""
+        refuse_null_ids(ids)
         starts, lengths, values = list_parts(ids)
         flat = gather_ragged(starts, lengths, values)
         if len(flat) and (flat.min() < 0 or flat.max() >= BYTE_VOCABULARY):
@@ -174,6 +181,7 @@ class _SubwordEncoder:
         return ids, lengths
 
     def decode(self, ids):
+        refuse_null_ids(ids)
         texts = self.library.decode_batch(
             [row or [] for row in ids.to_pylist()], skip_special_tokens=self.handle.skip_special_tokens
         )
