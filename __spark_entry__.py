@@ -105,15 +105,11 @@ def words(spark):
 
 def owner_sql(source):
     """The stock projection as a user of the SQL source writes it, with ANSI operators only."""
-    both = (
-        "CASE WHEN o2 IS NOT NULL AND o2 <> '' THEN coalesce(o1, '') || ', ' || o2"
-        " ELSE coalesce(o1, '') END"
-    )
+    both = "coalesce(o1, '') || coalesce(', ' || nullif(o2, ''), '')"
     return f"""
         SELECT gid,
                coalesce(o1, '') AS raw_owner_name_1,
-               CASE WHEN o2 IS NOT NULL AND o2 <> '' THEN 'Property Owner: ' || o2
-                    ELSE 'Property Owner: ' END AS context_owner_name_2,
+               'Property Owner: ' || coalesce(o2, '') AS context_owner_name_2,
                {both} AS raw_owner_names_concatenated,
                coalesce(addr, '') AS raw_address,
                'Property Owners: ' || {both} || ' | Property Mailing Address: '
@@ -394,7 +390,8 @@ def embed_batches(spark, sf_dir):
 
 
 def embed_documents(spark, sf_dir):
-    cfg = owner_config(input_columns=("text",), id_column="doc_id")
+    """Whole documents at the stock batch size: calls are bounded by their tokens."""
+    cfg = owner_config(input_columns=("text",), id_column="doc_id", max_tokens=2**20, trim_padding=True)
     found = wv.embed(table(spark, sf_dir, "documents"), cfg, model=byte_model(spark))
     return long_vectors(found, ["text"])
 
@@ -439,7 +436,9 @@ def embed_subword(spark, sf_dir):
 
 
 def vector_width(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("width"))
+    cfg = owner_config(input_columns=("text",), id_column="item_id")
+    found = wv.embed(table(spark, sf_dir, "benchmark"), cfg, model=byte_model(spark))
+    return found.select("gid", F.size("text").alias("width"))
 
 
 # ---------------------------------------------------------------- queries: runs
@@ -692,14 +691,14 @@ def oracle_sql() -> dict[str, str]:
         "null_default": owner_expression_sql("coalesce(o1, '')", "text"),
         "non_empty_test": owner_expression_sql(f"({has_two})", "has_text"),
         "labelled_text": owner_expression_sql(
-            f"CASE WHEN {has_two} THEN 'Property Owner: ' || o2 ELSE 'Property Owner: ' END", "text"
+            "'Property Owner: ' || coalesce(o2, '')", "text"
         ),
         "joined_text": owner_expression_sql(
-            f"CASE WHEN {has_two} THEN coalesce(o1, '') || ', ' || o2 ELSE coalesce(o1, '') END", "text"
+            "coalesce(o1, '') || coalesce(', ' || nullif(o2, ''), '')", "text"
         ),
         "context_text": owner_expression_sql(
-            f"'Owners: ' || CASE WHEN {has_two} THEN coalesce(o1, '') || ' & ' || o2"
-            " ELSE coalesce(o1, '') END || ' | Address: ' || coalesce(addr, '')",
+            "'Owners: ' || coalesce(o1, '') || coalesce(' & ' || nullif(o2, ''), '')"
+            " || ' | Address: ' || coalesce(addr, '')",
             "text",
         ),
         "perspectives": owner_sql("customer"),
@@ -761,7 +760,7 @@ def oracle_sql() -> dict[str, str]:
         "embed_subset": owner_mean_sql((COLUMNS[3], COLUMNS[1])),
         "embed_batches": owner_mean_sql(),
         "embed_documents": mean_sql(
-            documents, byte_ids_sql(f"{documents} AS d", slot_keys, "text", MAX_TOKENS)
+            documents, flat_byte_ids_sql(f"{documents} AS d", slot_keys, "text")
         ),
         "embed_whole_documents": mean_sql(
             documents, flat_byte_ids_sql(f"{documents} AS d", slot_keys, "text")
@@ -772,7 +771,7 @@ def oracle_sql() -> dict[str, str]:
         "embed_hidden_cls": owner_token_sql("max(h) FILTER (WHERE pos = 0)"),
         "embed_hidden_max": owner_token_sql("max(h)"),
         "embed_subword": mean_sql(slots_sql(), word_ids_sql(slots, slot_keys, "text")),
-        "vector_width": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS width FROM embeddings",
+        "vector_width": f"SELECT item_id AS gid, CAST({WIDTH} AS INTEGER) AS width FROM benchmark",
         "sink_roundtrip": owner_mean_sql(),
         "run_written": owner_mean_sql(),
         "output_switch": owner_mean_sql(),

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import widevec as wv
-from widevec.model import OnnxModel
 from widevec.operators import embed as embedding
 from widevec.operators.embed import distinct_texts, padded_lengths, window_rows
 from widevec.testing import check_model
@@ -105,19 +104,13 @@ def test_broken_model_fails_the_job(spark, rows, config):
         wv.embed(rows, config(), model=wv.model_from_bytes(spark, b"broken")).collect()
 
 
-@pytest.mark.parametrize("limit", [1, None])
-def test_model_file(spark, rows, expected, config, tmp_path, limit, monkeypatch):
-    """A small model is broadcast, a large one goes by file; pooling flags come along."""
-    path, flags = tmp_path / f"by-file-{limit}.onnx", tmp_path / "pooling.json"
+def test_model_file(spark, rows, expected, config, tmp_path):
+    """Pooling flags come along."""
+    path, flags = tmp_path / "model.onnx", tmp_path / "pooling.json"
     path.write_bytes(check_model(pooled=False))
     flags.write_text('{"pooling_mode_mean_tokens": true}')
     cfg = config(model_path=str(path), pooling_config_path=str(flags))
-    if limit:
-        loaded = OnnxModel(wv.ship_file(spark, str(path), limit=limit), "mean")
-        assert loaded.artifact.payload is None
-        assert vectors(wv.embed(rows, cfg, model=loaded)) == expected
-    else:
-        assert vectors(wv.embed(rows, cfg)) == expected
+    assert vectors(wv.embed(rows, cfg)) == expected
     with pytest.raises(ValueError, match="model_path"):
         wv.embed(rows, config())
 

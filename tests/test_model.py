@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import widevec as wv
@@ -78,22 +79,26 @@ def test_broadcast_is_size_checked(spark, monkeypatch):
         wv.ship_bytes(spark, b"x" * 11)
 
 
-def test_small_and_large_files(spark, tmp_path):
-    path = tmp_path / "check-model-large.onnx"
-    path.write_bytes(check_model())
-    small = wv.ship_file(spark, str(path))
-    assert small.read() == check_model() and small.payload is not None
-    large = wv.ship_file(spark, str(path), limit=100)
-    assert large.payload is None and large.read() == check_model()
-    assert wv.ship_file(spark, str(path), limit=100).digest == large.digest
-
-
-def test_large_driver_file_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
-    (tmp_path / "driver-only.onnx").write_bytes(check_model())
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster")
-    with pytest.raises(ValueError, match="share"):
-        wv.ship_file(spark, str(tmp_path / "driver-only.onnx"), limit=100)
-    assert wv.ship_file(spark, str(tmp_path / "driver-only.onnx")).read() == check_model()
+@pytest.mark.parametrize("size", [0, 40 * 1024 * 1024])
+def test_files_of_one_name_and_a_replaced_one(spark, tmp_path, size):
+    """Whatever their size: each is an artifact of its own, and later jobs still run."""
+    paths = [tmp_path / folder / "model.onnx" for folder in ("m1", "m2")]
+    shipped = []
+    for k, path in enumerate([*paths, paths[0]]):
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(bytes([k + 1]) * (size + 5))
+        shipped.append(wv.ship_file(spark, str(path)))
+    assert len({a.digest for a in shipped}) == 3
+    assert wv.ship_file(spark, str(paths[0])) == shipped[2]
+
+    def read(batches):
+        for batch in batches:
+            found = [a.read() for a in shipped]
+            yield pa.RecordBatch.from_pydict({"n": [len(f) for f in found], "first": [f[0] for f in found]})
+
+    rows = spark.range(0, 1, 1, 1).mapInArrow(read, "n long, first long").collect()
+    assert [tuple(r) for r in rows] == [(size + 5, 1), (size + 5, 2), (size + 5, 3)]
+    assert spark.range(10).count() == 10
 
 
 def test_one_file_is_expected(spark, tmp_path):

@@ -76,13 +76,34 @@ def test_wide_vectors_come_in_pieces(spark, mode):
         assert np.array_equal(np.array(row.pooled, np.float32), expected.astype(np.float32))
 
 
-def test_uneven_input_raises(spark):
-    uneven = spark.createDataFrame([(0, [[1.0, 2.0], [1.0]], [1, 1])], SCHEMA)
-    with pytest.raises(Exception, match="differ in width"):
-        wv.pool(uneven, "h", "m", "mean").collect()
-    short = spark.createDataFrame([(0, HIDDEN, [1])], SCHEMA)
-    with pytest.raises(Exception, match="differ in length"):
-        wv.pool(short, "h", "m", "mean").collect()
+@pytest.mark.parametrize("mode", CASES)
+@pytest.mark.parametrize("use_python", [True, False])
+@pytest.mark.parametrize(
+    "hidden, mask, error",
+    [
+        ([[1.0, 2.0], [1.0]], [1, 1], "differ in width"),
+        (HIDDEN, [1], "differ in length"),
+        (HIDDEN, [1, 1, 1, 1], "differ in length"),
+        (HIDDEN, None, "differ in length"),
+        (None, [1], "differ in length"),
+        ([[1.0], None], [1, 1], "a null inside"),
+        ([[1.0, None]], [1], "a null inside"),
+        ([[1.0, 2.0]], [None], "a null inside"),
+    ],
+)
+def test_uneven_input_raises(spark, mode, use_python, hidden, mask, error):
+    rows = spark.createDataFrame([(0, hidden, mask)], SCHEMA)
+    with pytest.raises(Exception, match=error):
+        wv.pool(rows, "h", "m", mode, use_python).collect()
+
+
+@pytest.mark.parametrize("mode", CASES)
+@pytest.mark.parametrize("use_python", [True, False])
+def test_empty_rows_and_rows_of_other_widths(spark, mode, use_python):
+    cases = [(0, None, None), (1, [], []), (2, HIDDEN, [1, 1, 0]), (3, None, []), (4, [[5.0]], [1]), (5, [[]], [1])]
+    rows = spark.createDataFrame(cases, SCHEMA).coalesce(1)
+    found = {r.i: list(r.pooled) for r in wv.pool(rows, "h", "m", mode, use_python).collect()}
+    assert found == {0: [], 1: [], 2: CASES[mode][0], 3: [], 4: [5.0], 5: []}
 
 
 @pytest.mark.parametrize(

@@ -14,10 +14,11 @@ from widevec.plans.job import run
 def main(arguments=None):
     parser = argparse.ArgumentParser(prog="widevec", description=__doc__)
     parser.add_argument("config", help="JSON file naming source, texts, model and output")
-    cfg = EmbedConfig.from_json(parser.parse_args(arguments).config)
+    path = parser.parse_args(arguments).config
+    spark = SparkSession.builder.appName("widevec").getOrCreate()
+    cfg = EmbedConfig.from_json(path, spark)
     if not cfg.enable_s3_output:
         parser.error("the configuration has its output switched off, so there is nothing to run")
-    spark = SparkSession.builder.appName("widevec").getOrCreate()
     print(json.dumps(asdict(run(spark, cfg).metrics)))
 
 

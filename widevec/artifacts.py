@@ -1,8 +1,8 @@
 """Getting model files, tokenizer files and the package itself to the tasks.
 
-A small artifact travels as a broadcast. A large one is registered with the Spark context,
-so every executor fetches it once to disk and its Python workers open that one copy. The
-size is always read before anything is loaded.
+A file of any size is staged under the digest of its content and registered with the Spark
+context, so every executor fetches it once to disk and its Python workers open that one
+copy. Bytes that the driver already holds travel as a broadcast and are refused over a limit.
 """
 
 import hashlib
@@ -14,6 +14,8 @@ from typing import Any
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
+from widevec.sources.scratch import scratch_path
+
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 _shipped = set()
@@ -49,24 +51,36 @@ def ship_bytes(spark, content):
     return Artifact(hashlib.sha256(content).hexdigest(), spark.sparkContext.broadcast(content))
 
 
-def ship_file(spark, path, limit=BROADCAST_LIMIT):
+def ship_file(spark, path):
     """Ship the file at ``path``, on any file system Spark can read.
 
-    On a cluster a file over the limit has to be on a shared file system, where every
-    executor reads it for itself. From the driver's disk they would all queue at the driver.
+    One task reads its digest. A copy named after the digest is staged once in the shared
+    folder (``spark.checkpoint.dir``), and every executor fetches that copy once to disk.
+    Names and sizes decide nothing: files of one name, or one replaced in place, are
+    artifacts of their own, and equal files are one.
     """
+    context = spark.sparkContext
     files = spark.read.format("binaryFile").load(path)
-    found = files.select("path", "length", "modificationTime").take(2)
+    found = files.select("path", F.sha2("content", 256).alias("digest")).take(2)
     if len(found) != 1:
         raise ValueError(f"expected one file at {path}, found {len(found) or 'none'}")
-    location, length = found[0]["path"], found[0]["length"]
-    if length <= limit:
-        return ship_bytes(spark, bytes(files.select(F.col("content")).first()["content"]))
-    if location.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{location} has {length} bytes: put it on a file system the executors share")
-    spark.sparkContext.addFile(location)
-    stamp = f"{location}:{length}:{found[0]['modificationTime']}"
-    return Artifact(hashlib.sha256(stamp.encode()).hexdigest(), file_name=os.path.basename(location))
+    location, digest = found[0]["path"], found[0]["digest"]
+    name = f"widevec-{digest}"
+    if (context.applicationId, digest) not in _shipped:
+        staged = scratch_path(spark, name)
+        _copy(spark, location, staged)
+        context.addFile(staged)
+        _shipped.add((context.applicationId, digest))
+    return Artifact(digest, file_name=name)
+
+
+def _copy(spark, source, target):
+    """From one file system to another, in pieces."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(name) for name in (source, target)]
+    stores = [path.getFileSystem(conf) for path in paths]
+    if not jvm.org.apache.hadoop.fs.FileUtil.copy(stores[0], paths[0], stores[1], paths[1], False, conf):
+        raise OSError(f"could not copy {source} to {target}")
 
 
 def ship_package(spark):

@@ -3,6 +3,8 @@
 import json
 from dataclasses import dataclass, fields
 
+from widevec.sources.files import read_json
+
 REQUIRED_KEYS = ("embedding_dim", "max_tokens", "batch_size", "vocab_path")
 SOURCE_KEYS = ("source_query", "source_table", "source_path")
 
@@ -19,6 +21,9 @@ class EmbedConfig:
 
     ``trim_padding`` runs short texts at a shorter padded length than ``max_tokens``. It
     needs a model that takes any length and ignores masked positions.
+
+    ``reuse_repeats`` runs a text that repeats nearby once; switch it off for a model whose
+    vectors depend on the other texts of a call.
     """
 
     embedding_dim: int
@@ -37,6 +42,7 @@ class EmbedConfig:
     pooling_config_path: str = ""
     partitions: int | None = None
     trim_padding: bool = False
+    reuse_repeats: bool = True
 
     def __post_init__(self):
         for name in ("embedding_dim", "max_tokens", "batch_size", "partitions"):
@@ -47,7 +53,7 @@ class EmbedConfig:
                 raise TypeError(f"{name} must be an integer, got {value!r}")
             if value <= 0:
                 raise ValueError(f"{name} must be positive, got {value}")
-        for name in ("enable_s3_output", "trim_padding"):
+        for name in ("enable_s3_output", "trim_padding", "reuse_repeats"):
             if not isinstance(getattr(self, name), bool):
                 raise TypeError(f"{name} must be true or false, got {getattr(self, name)!r}")
         if self.batch_size * self.embedding_dim >= 2**31:
@@ -60,10 +66,14 @@ class EmbedConfig:
             raise ValueError(f"the output columns {names} repeat a name")
 
     @classmethod
-    def from_json(cls, path):
-        """Read a JSON file on the driver. Keys the job does not know are ignored."""
-        with open(path, encoding="utf-8") as handle:
-            raw = json.load(handle)
+    def from_json(cls, path, spark=None):
+        """Read a JSON file, on any file system that ``spark`` can read, on the driver's disk
+        without one. Keys the job does not know are ignored."""
+        if spark is not None:
+            raw = read_json(spark, path)
+        else:
+            with open(path, encoding="utf-8") as handle:
+                raw = json.load(handle)
         missing = [key for key in REQUIRED_KEYS if key not in raw]
         if missing:
             raise ValueError(f"{path} lacks required keys {missing}")

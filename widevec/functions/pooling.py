@@ -10,11 +10,16 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from widevec.functions.tokens import SLICE_VALUES, slices
+from widevec.sources.files import read_json
 from widevec.tokenizer import gather_ragged, list_parts, to_list_array
 
 # Fixed values of the pooling rules.
 MASKED_OUT = -1e9
 SMALLEST_COUNT = 1e-9
+# What is refused, in both forms.
+NULL_INSIDE = "a null inside token vectors or attention mask"
+UNEVEN_WIDTH = "token vectors differ in width"
+UNEVEN_LENGTH = "attention mask and token vectors differ in length"
 MODE_FLAGS = {
     "cls": "pooling_mode_cls_token",
     "mean": "pooling_mode_mean_tokens",
@@ -28,10 +33,13 @@ def pooling_mode(flags=None):
     return next((mode for mode, flag in MODE_FLAGS.items() if flags.get(flag)), "mean")
 
 
-def read_pooling_mode(path):
-    """As ``pooling_mode``, from a JSON file of flags. No path means the default."""
+def read_pooling_mode(path, spark=None):
+    """As ``pooling_mode``, from a JSON file of flags: on any file system that ``spark`` can
+    read, on the driver's disk without one. No path means the default."""
     if not path:
         return pooling_mode()
+    if spark is not None:
+        return pooling_mode(read_json(spark, path))
     with open(path, encoding="utf-8") as handle:
         return pooling_mode(json.load(handle))
 
@@ -48,22 +56,36 @@ def pool_tensor(hidden, mask, mode):
 
 
 def pool_lists(hidden, mask, mode):
-    """Arrow form over ``list<list<float>>`` and ``list<int>``. Texts may differ in length."""
+    """Arrow form over ``list<list<float>>`` and ``list<int>``.
+
+    Texts may differ in length, and in width from row to row. A null list is an empty one and
+    gives an empty vector; a null inside a list is an error, as are uneven widths in a row and
+    a mask of another length.
+    """
+    vectors = hidden.flatten()
+    if vectors.null_count or vectors.flatten().null_count or mask.flatten().null_count:
+        raise ValueError(NULL_INSIDE)
     outer = list_parts(hidden)
     inner = list_parts(hidden.values)
     tokens = outer[1]
     widths = gather_ragged(outer[0], tokens, inner[1])
-    width = int(widths[0]) if len(widths) else 0
-    if (widths != width).any():
-        raise ValueError("token vectors differ in width")
+    filled = tokens > 0
+    firsts = (np.cumsum(tokens) - tokens)[filled]
+    own = np.zeros(len(tokens), np.int64)
+    own[filled] = widths[firsts]
+    if (widths != np.repeat(own, tokens)).any():
+        raise ValueError(UNEVEN_WIDTH)
     mask_starts, mask_lengths, mask_values = list_parts(mask)
     if (mask_lengths != tokens).any():
-        raise ValueError("attention mask and token vectors differ in length")
+        raise ValueError(UNEVEN_LENGTH)
+    if len(np.unique(own[filled])) > 1:
+        parts = [np.flatnonzero(own == width) for width in np.unique(own)]
+        found = [pool_lists(hidden.take(pa.array(p)), mask.take(pa.array(p)), mode) for p in parts]
+        return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(parts))))
+    width = int(own.max(initial=0))
     flat = gather_ragged(gather_ragged(outer[0], tokens, inner[0]), widths, inner[2])
-    flat = flat.reshape(-1, width).astype(np.float64)
+    flat = flat.reshape(len(widths), width).astype(np.float64)
     weights = gather_ragged(mask_starts, tokens, mask_values).astype(np.float64)
-    filled = tokens > 0
-    firsts = (np.cumsum(tokens) - tokens)[filled]
     pooled = np.zeros((int(filled.sum()), width))
     if len(firsts) and mode == "cls":
         pooled = flat[firsts]
@@ -91,7 +113,23 @@ def pool_udf(mode):
 
 
 def pool_expr(hidden, mask, mode):
-    """The same without Python, as higher-order functions."""
+    """The same without Python, as higher-order functions: a lambda call for each value, so
+    rather for short texts and narrow vectors."""
+    hidden = F.coalesce(hidden, F.array().cast("array<array<float>>"))
+    mask = F.coalesce(mask, F.array().cast("array<int>"))
+    null_inside = F.exists(
+        hidden, lambda vector: vector.isNull() | F.exists(vector, lambda value: value.isNull())
+    ) | F.exists(mask, lambda m: m.isNull())
+    width = F.size(F.get(hidden, F.lit(0)))
+    return (
+        F.when(null_inside, F.raise_error(F.lit(NULL_INSIDE)))
+        .when(F.exists(hidden, lambda vector: F.size(vector) != width), F.raise_error(F.lit(UNEVEN_WIDTH)))
+        .when(F.size(hidden) != F.size(mask), F.raise_error(F.lit(UNEVEN_LENGTH)))
+        .otherwise(_pooled_expr(hidden, mask, mode))
+    )
+
+
+def _pooled_expr(hidden, mask, mode):
     if mode == "cls":
         return F.coalesce(F.get(hidden, F.lit(0)), F.array().cast("array<float>"))
     tokens = F.sequence(F.lit(0), F.greatest(F.size(hidden), F.lit(1)) - 1)

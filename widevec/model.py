@@ -111,7 +111,7 @@ def load_model(spark, cfg):
     """The model at ``model_path``, pooled as its flags file says if it needs pooling."""
     if not cfg.model_path:
         raise ValueError("model_path is empty")
-    return OnnxModel(ship_file(spark, cfg.model_path), read_pooling_mode(cfg.pooling_config_path))
+    return OnnxModel(ship_file(spark, cfg.model_path), read_pooling_mode(cfg.pooling_config_path, spark))
 
 
 def model_from_bytes(spark, content, pooling="mean"):

@@ -11,6 +11,7 @@ from widevec.tokenizer import gather_ragged, list_type, make_tokenizer, pad_fixe
 
 SHORTEST_PADDING = 16
 # Tokens and vectors a task holds at a time.
+CALL_TOKENS = 4 * 1024 * 1024
 WINDOW_BYTES = 64 * 1024 * 1024
 
 
@@ -21,7 +22,7 @@ def output_schema(cfg, columns=None):
     return T.StructType([T.StructField("gid", T.LongType(), False), *vectors])
 
 
-def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, reuse_repeats=True):
+def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, reuse_repeats=None):
     """``gid`` plus one ``array<float>`` of ``embedding_dim`` per text column.
 
     One narrow stage and no shuffle. Filter and pick ``columns`` before this operator, since
@@ -29,8 +30,8 @@ def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, re
     for inputs with fewer splits than the cluster has task slots; smaller scan splits do the
     same for free.
 
-    The model is called with the texts of ``batch_size`` rows at most. ``reuse_repeats``
-    runs a text that repeats within a window of such batches, in whatever column, through
+    The model is called with the texts of ``batch_size`` rows at most, fewer where they are
+    long (``CALL_TOKENS``). ``reuse_repeats``, by default as the configuration says, runs a text that repeats within a window of such batches, in whatever column, through
     tokenizer and model once, and fills the calls with distinct texts. It is exact for a
     model whose vectors depend on the text alone.
     """
@@ -50,7 +51,8 @@ def prepare_texts(df, cfg, tokenizer, columns=None, partitions=None):
     return texts if count is None else texts.repartition(count)
 
 
-def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=True):
+def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=None):
+    reuse_repeats = cfg.reuse_repeats if reuse_repeats is None else reuse_repeats
     model = load_model(texts.sparkSession, cfg) if model is None else model
     schema = output_schema(cfg, texts.columns[1:])
     batch_size, width = cfg.batch_size, cfg.embedding_dim
@@ -58,8 +60,11 @@ def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=True):
     window = window_rows(cfg, texts_per_row) if reuse_repeats else batch_size
 
     def embed_batches(batches):
-        encoder, infer = tokenizer.open(), model.open()
+        infer = None
         for batch in batches:
+            # An empty partition opens nothing.
+            if infer is None:
+                encoder, infer = tokenizer.open(), model.open()
             for start in range(0, batch.num_rows, window):
                 rows = batch.slice(start, window)
                 slots, texts = distinct_texts(rows.columns[1:], reuse_repeats)
@@ -98,13 +103,15 @@ def padded_lengths(lengths, max_len, trim_padding):
 
 
 def infer_texts(infer, values, lengths, padded, most, width):
-    """One vector per text, from calls of at most ``most`` texts of one padded length."""
+    """One vector per text, from calls of at most ``most`` texts of one padded length and at
+    most ``CALL_TOKENS`` tokens, or one text."""
     starts = np.cumsum(lengths) - lengths
     vectors = np.empty((len(lengths), width), np.float32)
     for size in np.unique(padded):
         same = np.flatnonzero(padded == size)
-        for at in range(0, len(same), most):
-            rows = same[at : at + most]
+        step = max(1, min(most, CALL_TOKENS // int(size)))
+        for at in range(0, len(same), step):
+            rows = same[at : at + step]
             ids, mask = pad_fixed(gather_ragged(starts[rows], lengths[rows], values), lengths[rows], size)
             found = infer(ids, mask)
             if found.shape != (len(rows), width):

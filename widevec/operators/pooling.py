@@ -11,7 +11,8 @@ _HIDDEN, _MASK = "_widevec_hidden", "_widevec_mask"
 def pool(df, hidden_col, mask_col, mode, use_python=True):
     """Add ``pooled array<float>`` from ``array<array<float>>`` and its ``array<int>`` mask.
 
-    ``use_python=False`` gives the higher-order-function form, same values.
+    ``use_python=False`` gives the higher-order-function form, with the same values and the
+    same errors: see ``pool_lists``.
     """
     hidden = F.col(quoted(hidden_col)).cast("array<array<float>>")
     mask = F.col(quoted(mask_col)).cast("array<int>")

@@ -57,13 +57,15 @@ def run(spark, cfg, df=None, model=None, tokenizer=None):
     write_vectors(vectors, cfg.s3_output_path, cfg.embedding_dim)
     seconds = time.perf_counter() - started
     embedded = done.get["rows"]
+    written = spark.read.schema(vectors.schema).parquet(cfg.s3_output_path)
     metrics = RunMetrics(
         source_rows=read.get["rows"],
         rows_processed=embedded,
-        rows_written=embedded,
+        # From the footers of the files, so that it shows what a writer loses.
+        rows_written=written.count(),
         sequences=embedded * len(cfg.input_columns),
         seconds=seconds,
         rows_per_second=embedded / seconds if seconds > 0 else 0.0,
     )
     log.info("embedded into %s: %s", cfg.s3_output_path, asdict(metrics))
-    return RunResult(spark.read.schema(vectors.schema).parquet(cfg.s3_output_path), metrics)
+    return RunResult(written, metrics)

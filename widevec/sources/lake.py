@@ -67,14 +67,14 @@ def catalog_conf(name, implementation, **properties):
 
 
 def task_conf(
-    cfg, slots=None, cpus_per_task=1, gpus_per_task=0.0, split_bytes="16m", tasks_per_slot=50
+    cfg, slots=None, cpus_per_task=1, gpus_per_task=0.0, split_bytes="16m"
 ):
     """Session settings that suit embedding, where a little input means a lot of work.
 
     Small scan splits spread inference without a shuffle. ``slots``, the tasks the cluster
-    runs at once, keeps their number sane at both ends: a large input gets splits grown to
-    about ``tasks_per_slot`` tasks per slot, a small one at least a task for each. An Arrow
-    batch that is a multiple of the micro-batch leaves no short remainder in every batch.
+    runs at once, gives a small input at least a task for each. Splits never grow with the
+    table, so neither does what a lost executor has to repeat. An Arrow batch that is a
+    multiple of the micro-batch leaves no short remainder in every batch.
 
     Every task slot has a Python worker with a model of its own, which runs on
     ``cpus_per_task`` threads: more of them means fewer copies of a large model in memory.
@@ -86,7 +86,6 @@ def task_conf(
     }
     if slots:
         conf["spark.sql.files.minPartitionNum"] = str(slots)
-        conf["spark.sql.files.maxPartitionNum"] = str(slots * tasks_per_slot)
     if cpus_per_task > 1:
         conf["spark.task.cpus"] = str(cpus_per_task)
     if gpus_per_task:

@@ -21,6 +21,8 @@ EOS_ID = 1
 BYTE_OFFSET = 3
 BYTE_VOCABULARY = 259
 
+# Open tokenizers of a Python worker, the one used longest ago first.
+KEPT_TOKENIZERS = 3
 _opened = {}
 
 
@@ -146,10 +148,13 @@ class SubwordTokenizer:
         return F.coalesce(text, F.lit(""))
 
     def open(self):
-        if self not in _opened:
-            _opened.clear()
-            _opened[self] = _SubwordEncoder(self)
-        return _opened[self]
+        encoder = _opened.pop(self, None)
+        if encoder is None:
+            while len(_opened) >= KEPT_TOKENIZERS:
+                del _opened[next(iter(_opened))]
+            encoder = _SubwordEncoder(self)
+        _opened[self] = encoder
+        return encoder
 
     def __hash__(self):
         return hash((self.definition.digest, self.add_special_tokens, self.skip_special_tokens))
