@@ -249,6 +249,20 @@ def test_near_duplicates(spark, odd, empty):
     assert near_dedup.duplicate_classes(empty).collect() == []
 
 
+def test_one_document_of_every_class_is_kept(spark, tmp_path):
+    words_of = lambda k: " ".join(f"t{k}w{i}" for i in range(30))
+    rows = [(None, words_of(k)) for k in range(4)] + [(None, words_of(0)), (5, words_of(10)), (5, words_of(11)), (6, words_of(11)), (7, words_of(12)), (None, words_of(12))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = len({text for _, text in rows})
+    kept = near_dedup.keep_one_each(frame).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([*rows[:4], rows[5], rows[6], rows[8]], key=str)
+    assert len(kept) == groups == len({r["root"] for r in near_dedup.duplicate_classes(frame).collect()})
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = near_dedup.op3_dart_minhash(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and len({r["class_id"] for r in found}) == groups
+    assert {r["class_id"] for r in found if r["doc_id"] == 7} == {7}
+
+
 def test_near_duplicates_of_documents(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert collections.Counter(tuple(r) for r in near_dedup.op3_dart_minhash(spark, sf).collect()) == classes_brute(rows)
