@@ -427,6 +427,19 @@ def test_page_text(spark):
     assert texts == {1: "first", 2: "second", 3: "T & U\n\nShared line\n\none two three four", 4: "Shared line\n\nonly", 5: "", 6: "", 7: "a <b> é"}
 
 
+def test_copies_of_a_page_keep_its_text(spark):
+    page = lambda *lines: "<nav>Home</nav><p>Site line</p>" + "".join(f"<p>{x}</p>" for x in lines) + "<footer>x</footer>"
+    copy, near = page("one", "two", "three"), page("one", "two", "changed")
+    rows = [(1, "http://h/a", page("first")), (2, "http://h/b", copy), (2, "http://h/b", copy), (3, "http://h/b?utm=1", copy),
+            (4, "http://h/b", copy), (5, "http://h/c", copy), (6, "http://h/b?utm=2", near), (7, "http://h/z", page("last")), (8, "http://h/z2", ""),
+            (9, "http://g/b", copy), (10, "http://g/b?utm=1", near), (11, "http://g/b", copy)]
+    found = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    own, other = "one\n\ntwo\n\nthree", "one\n\ntwo\n\nchanged"
+    alone = {9: "Site line\n\n" + own, 10: "Site line\n\n" + other, 11: "Site line\n\n" + own}
+    assert {r["page_id"]: r["text"] for r in found} == {1: "first", 2: own, 3: own, 4: own, 5: own, 6: other, 7: "last", 8: ""} | alone
+
+
 def test_text_of_given_pages(spark, sf):
     true = {}
     for row in spark.read.parquet(f"{sf}/pages.parquet").collect():

@@ -237,47 +237,71 @@ def hash_line(line):
 
 
 def _parsed_lines(rows):
-    """(page_id, tie, lines): hashes of each page's lines in order."""
+    """(page_id, tie, host, path, digest, lines): hashes of each page's lines in order, and
+    one of them all."""
 
     def run(batches):
         for batch in batches:
             lines = [line_hashes(blocks(page)) for page in batch.column("html").to_pylist()]
+            digests = [xxhash.xxh3_128_digest(own.tobytes()) for own in lines]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("tie"), batch.column("host"), batch.column("path"), pa.array(lines, pa.list_(pa.int64()))],
-                ["page_id", "tie", "host", "path", "lines"],
+                [
+                    *[batch.column(name) for name in ("page_id", "tie", "host", "path")],
+                    pa.array(digests, pa.binary()),
+                    pa.array(lines, pa.list_(pa.int64())),
+                ],
+                ["page_id", "tie", "host", "path", "digest", "lines"],
             )
 
-    return rows.mapInArrow(run, "page_id long, tie long, host string, path string, lines array<long>")
+    return rows.mapInArrow(run, "page_id long, tie long, host string, path string, digest binary, lines array<long>")
+
+
+def _nearest(rows, *keys):
+    """(keys, path, near): of each path, the lines of the last page of the path before it, or
+    of the first page of the path after it if there is none before."""
+    at = F.struct("page_id", "tie")
+    ends = rows.groupBy(*keys, "path").agg(F.min_by("lines", at).alias("first"), F.max_by("lines", at).alias("last"))
+    order = Window.partitionBy(*keys).orderBy("path")
+    near = F.coalesce(F.lag("last").over(order), F.lead("first").over(order))
+    return ends.select(*keys, "path", near.alias("near")).filter(F.col("near").isNotNull())
 
 
 def shared_lines(rows):
     """(page_id, tie, places): of each page, the places of the lines that the page of the
     nearest URL has too. Works on line hashes alone, so no page text is shuffled.
 
+    Pages of a host with equal lines are one, that of the least path, and share its answer.
     Nearest is next in order of path within the host, the one before, or after for the
-    first. A host of more than 1,024 pages is dealt by hash into groups of about that many,
-    so that no task orders a whole host.
+    first; pages of one path, be they versions or copies under other queries, are never
+    compared with each other, and a host of a single path has no lines to share. A host of
+    more than 1,024 pages is dealt by hash into groups of about that many, so that no task
+    orders a whole host.
     """
     lines = written(_parsed_lines(rows), "lines")
-    hosts = lines.groupBy("host").agg(F.count("*").alias("n"))
-    dealt = lines.join(hosts, "host").select(
-        "page_id", "tie", "host", "path", "lines",
-        F.pmod(F.xxhash64("path", "page_id"), F.ceil(F.col("n") / GROUP_PAGES)).alias("part"),
+    pages = lines.filter(F.size("lines") > 0).groupBy("host", "digest").agg(
+        F.min(F.struct("path", "page_id", "tie")).alias("k"), F.first("lines").alias("lines")
     )
-    order = Window.partitionBy("host", "part").orderBy("path", "page_id", "tie")
-    near = F.coalesce(F.lag("lines").over(order), F.lead("lines").over(order))
-    paired = dealt.select("page_id", "tie", "lines", near.alias("near")).filter(F.col("near").isNotNull())
+    pages = pages.select("host", "digest", "k.*", "lines")
+    hosts = pages.groupBy("host").agg(F.count("*").alias("n"))
+    dealt = pages.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("path", "page_id"), F.ceil(F.col("n") / GROUP_PAGES)))
+    paired = dealt.join(_nearest(dealt, "host", "part"), ["host", "part", "path"]).select("host", "digest", "lines", "near")
+    named = lines.select("page_id", "tie", "host", "digest").distinct()
+    return named.join(_compared(paired), ["host", "digest"]).select("page_id", "tie", "places")
+
+
+def _compared(paired):
+    """(host, digest, places) of pages (host, digest, lines, near)."""
 
     def run(batches):
         for batch in batches:
             both = zip(batch.column("lines").to_pylist(), batch.column("near").to_pylist())
             places = [np.flatnonzero(common_lines(a, b)) for a, b in both]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("tie"), pa.array(places, pa.list_(pa.int32()))],
-                ["page_id", "tie", "places"],
+                [batch.column("host"), batch.column("digest"), pa.array(places, pa.list_(pa.int32()))],
+                ["host", "digest", "places"],
             )
 
-    return paired.mapInArrow(run, "page_id long, tie long, places array<int>")
+    return paired.mapInArrow(run, "host string, digest binary, places array<int>")
 
 
 def extract_pages(pages):
