@@ -440,6 +440,28 @@ def test_copies_of_a_page_keep_its_text(spark):
     assert {r["page_id"]: r["text"] for r in found} == {1: "first", 2: own, 3: own, 4: own, 5: own, 6: other, 7: "last", 8: ""} | alone
 
 
+def test_every_page_meets_its_neighbour_on_a_host_of_any_size(spark):
+    """Sections of four pages with a line of their own; one page of each has many versions."""
+    rows, true = [], {}
+    for k in range(3000):
+        path = f"http://h/{k // 4:04}/{k % 4}"
+        for version in range(150 if k in (0, 1001) else 1):
+            number = len(rows)
+            rows.append((number, f"{path}?v={version}", f"<p>Site</p><p>Section {k // 4}</p><p>own {k}</p><p>version {version}</p>" if k in (0, 1001) else f"<p>Site</p><p>Section {k // 4}</p><p>own {k}</p>"))
+            # The first page of a section follows another section, but for the host's first.
+            true[number] = [*([f"Section {k // 4}"] if k % 4 == 0 and k else []), f"own {k}", *([f"version {version}"] if k in (0, 1001) else [])]
+    rows += [(len(rows) + k, f"http://small{k}/", "<p>Site</p>") for k in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")
+    try:
+        found = {r["page_id"]: r["text"] for r in pages.extract_pages(frame).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found == {k: "\n\n".join(x) for k, x in true.items()} | {len(true) + k: "Site" for k in range(20)}
+
+
 def test_text_of_given_pages(spark, sf):
     true = {}
     for row in spark.read.parquet(f"{sf}/pages.parquet").collect():

@@ -13,14 +13,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from widevec.llm.common import table, written
 
-# Pages that are paired among themselves; a larger host makes several such groups by hash.
-GROUP_PAGES = 1024
-
 # Fixed values of HTML: elements that are never text, that have no content, that end a block.
 SILENT = frozenset("script style noscript template iframe object svg math canvas head title select textarea".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
@@ -273,20 +271,76 @@ def shared_lines(rows):
     Pages of a host with equal lines are one, that of the least path, and share its answer.
     Nearest is next in order of path within the host, the one before, or after for the
     first; pages of one path, be they versions or copies under other queries, are never
-    compared with each other, and a host of a single path has no lines to share. A host of
-    more than 1,024 pages is dealt by hash into groups of about that many, so that no task
-    orders a whole host.
+    compared with each other, and a host of a single path has no lines to share. Tasks hold
+    ranges of (host, path, page_id), so none orders a whole host; where a path has its
+    neighbour in another range, the rows at the ranges' ends meet it, four at most of each
+    host and range.
     """
     lines = written(_parsed_lines(rows), "lines")
     pages = lines.filter(F.size("lines") > 0).groupBy("host", "digest").agg(
         F.min(F.struct("path", "page_id", "tie")).alias("k"), F.first("lines").alias("lines")
     )
     pages = pages.select("host", "digest", "k.*", "lines")
-    hosts = pages.groupBy("host").agg(F.count("*").alias("n"))
-    dealt = pages.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("path", "page_id"), F.ceil(F.col("n") / GROUP_PAGES)))
-    paired = dealt.join(_nearest(dealt, "host", "part"), ["host", "part", "path"]).select("host", "digest", "lines", "near")
+    place = ["host", "path", "page_id", "tie"]
+    ranged = pages.repartitionByRange(*place).sortWithinPartitions(*place).select(*place, "digest", "lines")
+    ranged = written(_compared_in_order(ranged), "ranges")
+    near = _nearest(ranged.filter("edge"), "host")
+    first = ranged.filter("not edge and places is null").select("host", "part", "path", "digest", "lines")
+    # One row for each host and part, so a path of many parts is no hot key.
+    near = first.select("host", "part", "path").distinct().join(near, ["host", "path"]).select("host", "part", "near")
+    paired = first.join(near, ["host", "part"]).select("host", "digest", "lines", "near")
+    places = ranged.filter("not edge and places is not null").select("host", "digest", "places")
+    places = places.unionByName(_compared(paired))
     named = lines.select("page_id", "tie", "host", "digest").distinct()
-    return named.join(_compared(paired), ["host", "digest"]).select("page_id", "tie", "places")
+    return named.join(places, ["host", "digest"]).select("page_id", "tie", "places")
+
+
+def _compared_in_order(pages):
+    """Pages in order of (host, path, page_id, tie): ``places`` of those whose host has an
+    earlier path in their partition, ``lines`` of the others.
+
+    Rows with ``edge`` are besides these: for each host of a partition the first page of its
+    first two paths there and the last page of its last two, by which pages without an
+    earlier path find theirs in other partitions.
+    """
+    kinds = "edge boolean, part int, host string, path string, page_id long, tie long, digest binary, lines array<long>, places array<int>"
+    names = [kind.split()[0] for kind in kinds.split(", ")]
+    types = [pa.bool_(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        # The last page, and the last of the path before its own; in which path of its host that is.
+        last = before = None
+        paths = 0
+
+        def edge(page):
+            return (True, part, *page[:4], None, page[5], None)
+
+        for batch in batches:
+            rows = []
+            for page in zip(*[batch.column(n).to_pylist() for n in ("host", "path", "page_id", "tie", "digest", "lines")]):
+                if last is None or page[0] != last[0]:
+                    rows += [edge(p) for p in (before, last) if p]
+                    rows.append(edge(page))
+                    before, paths = None, 1
+                elif page[1] != last[1]:
+                    before, paths = last, paths + 1
+                    if paths == 2:
+                        rows.append(edge(page))
+                last = page
+                if before:
+                    rows.append((False, part, *page[:5], None, np.flatnonzero(common_lines(page[5], before[5]))))
+                else:
+                    rows.append((False, part, *page, None))
+            if rows:
+                yield _batch(rows)
+        if last:
+            yield _batch([edge(p) for p in (before, last) if p])
+
+    def _batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return pages.mapInArrow(run, kinds)
 
 
 def _compared(paired):
