@@ -462,6 +462,17 @@ def test_every_page_meets_its_neighbour_on_a_host_of_any_size(spark):
     assert found == {k: "\n\n".join(x) for k, x in true.items()} | {len(true) + k: "Site" for k in range(20)}
 
 
+def test_differencing_decides_outside_the_only_article(spark):
+    page = lambda body: f"<nav>Home</nav><p>Site line</p>{body}<p>Imprint</p>"
+    teaser = "<article><p>teaser</p></article>"
+    rows = [(1, "http://h/a", page("<div>plain</div>")), (2, "http://h/b", page(f"<div>long body</div>{teaser}<div class='ad'>ad</div>")),
+            (3, "http://h/c", page(f"<article><p>real</p></article>{teaser}")), (4, "http://h/d", page(f"<main><h1>Top</h1><article>mine</article>{teaser}</main>")),
+            (5, "http://h/e", page("<article><p>Site line</p><article>reply</article></article>")), (6, "http://h/f", page("<main><p>x</p><article>reply</article></main>"))]
+    found = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"].split("\n\n") for r in found} == {
+        1: ["plain"], 2: ["long body", "teaser"], 3: ["real"], 4: ["Top", "mine"], 5: ["Site line", "reply"], 6: ["x", "reply"]}
+
+
 def test_text_of_given_pages(spark, sf):
     true = {}
     for row in spark.read.parquet(f"{sf}/pages.parquet").collect():

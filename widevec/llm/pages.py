@@ -2,9 +2,9 @@
 
 Pages of one host are paired by URL path. The text lines of both are aligned by a longest
 common subsequence, and lines that they share, being the site's and not the page's, are
-deleted. Lines inside an article's own element are the page's even if another page has them
-too; marks such as nav, footer or class="ad" take out what differs from page to page
-without being text.
+deleted. Lines inside the page's only article or main element are the page's even if another
+page has them too; marks such as nav, footer or class="ad" take out what differs from page to
+page without being text.
 """
 
 import html as entities
@@ -54,10 +54,12 @@ WORD = re.compile(r"[a-z]+")
 
 
 def blocks(page):
-    """(text, zone) of each text block in page order. zone: 2 inside an article or main
-    element, 0 inside something marked as no main text, 1 elsewhere."""
+    """(text, zone) of each text block in page order. zone: 0 inside something marked as no
+    main text, 2 or more inside an article or main element, a number for each, 1 elsewhere.
+    An article in an article is of the outer one, the first in a main element of that."""
     found, text, stack = [], [], []
     zone = 1
+    articles, unused = 0, set()
     at = 0
 
     def flush():
@@ -109,8 +111,21 @@ def blocks(page):
         attributes = match.group(3)
         if attributes.rstrip().endswith("/") and name not in BLOCK:
             continue
-        stack.append((name, _zone(name, attributes, zone_of())))
-        zone = zone_of()
+        outer = zone_of()
+        own = _zone(name, attributes, outer)
+        if name in MAIN and own >= 2:
+            nested = outer >= 2 and (name == "main" or outer in unused or any(n == "article" and z >= 2 for n, z in stack))
+            if nested:
+                own = outer
+            else:
+                articles += 1
+                own = articles + 1
+            if name == "article":
+                unused.discard(own)
+            elif not nested:
+                unused.add(own)
+        stack.append((name, own))
+        zone = own
     if at < len(page) and zone >= 0:
         text.append(page[at:])
     flush()
@@ -216,13 +231,12 @@ def _lengths(a, b):
 def main_text(found, shared):
     """The blocks of a page that are its main text. shared: which ones the nearest page has.
 
-    If the page has an article or main element, the text is what lies inside it and is not
-    marked otherwise; if not, it is what is neither marked nor shared.
+    That is what is neither marked nor shared. Shared lines stay where they lie in an article
+    or main element that is the only one of the page.
     """
-    if any(zone == 2 for _, zone in found):
-        kept = [line for line, zone in found if zone == 2]
-    else:
-        kept = [line for (line, zone), both in zip(found, shared) if zone == 1 and not both]
+    articles = {zone for _, zone in found if zone >= 2}
+    only = articles if len(articles) == 1 else ()
+    kept = [line for (line, zone), both in zip(found, shared) if zone in only or zone and not both]
     return "\n\n".join(kept)
 
 
