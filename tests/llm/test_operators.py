@@ -310,6 +310,21 @@ def test_languages_of_held_out_documents(spark, sf, odd, empty):
     assert language.identify(empty, none).collect() == []
 
 
+def test_a_rare_language_is_learnt(spark):
+    rng = random.Random(6)
+    common, rare = ["the house is old".split(), "to jest mały dom nad rzeką".split()]
+    text = lambda own: " ".join(rng.choice(own) for _ in range(6))
+    rows = [(k, text(common), "en") for k in range(3000)] + [(3000 + k, text(rare), "pl") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(frame, language.fit_languages(frame, training_docs=30)).collect()}
+    assert found == {k: lang for k, _, lang in rows}
+
+
+def test_models_of_other_content_have_other_keys():
+    model = lambda x: language.LanguageModel(["a"], np.full((2, 1), x), np.zeros(1), "v")
+    assert language.model_key(model(1.0)) == language.model_key(model(1.0)) != language.model_key(model(2.0))
+
+
 # ------------------------------------------------------------------ 5
 
 

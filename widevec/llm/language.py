@@ -6,6 +6,8 @@ text's is the product over its words. Piece probabilities are fitted by expectat
 maximisation: the expected uses of a piece, over all segmentations of the training words.
 """
 
+import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -20,6 +22,8 @@ from widevec.llm.common import table, utf8, written
 VOCABULARY = "piece_bpe_32k.model"
 # The classifier is fitted on a hash sample of about so many labelled documents.
 TRAINING_DOCS = 4_000
+# Of no language fewer than about so many, if it has them.
+LANGUAGE_DOCS = 500
 ROUNDS = 2
 # Before the first round every piece costs the same, so fewer pieces are likelier.
 FIRST_COST = 6.0
@@ -167,11 +171,12 @@ def is_held_out():
     return F.coalesce(F.crc32(utf8(F.col("doc_id"))) % 4 == 2, F.lit(False)) & F.col("doc_id").isNotNull()
 
 
-def fit_languages(docs, training_docs=TRAINING_DOCS, rounds=ROUNDS, vocabulary=VOCABULARY):
+def fit_languages(docs, training_docs=TRAINING_DOCS, rounds=ROUNDS, vocabulary=VOCABULARY, language_docs=LANGUAGE_DOCS):
     """Fit on the labelled rows of ``docs`` (doc_id, text, lang) that are not held out.
 
-    On about ``training_docs`` of them at most, drawn by the hash of their ids: a fit's cost
-    does not grow with the table. Tasks add up expected uses themselves, so what is shuffled
+    On about ``training_docs`` of them, drawn by the hash of their ids, and besides of each
+    language on as many as bring it to ``language_docs``: a fit's cost grows with the number
+    of languages, not with the table, and no language is lost beside larger ones. Tasks add up expected uses themselves, so what is shuffled
     and what reaches the driver is at most a number per piece and language and task.
     """
     labelled = docs.filter(
@@ -185,10 +190,10 @@ def fit_languages(docs, training_docs=TRAINING_DOCS, rounds=ROUNDS, vocabulary=V
     costs = np.full((pieces.count, len(languages)), -FIRST_COST)
     if not languages:
         return LanguageModel([], costs, log_priors, vocabulary)
-    kept = min(1.0, training_docs / total)
-    sample = labelled.filter(
-        F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < F.lit(int(kept * (1 << 30)))
-    )
+    rates = [min(1.0, max(training_docs / total, language_docs / priors[lang])) for lang in languages]
+    bounds = zip(map(F.lit, languages), (F.lit(int(rate * (1 << 30))) for rate in rates))
+    bound = F.create_map(*itertools.chain(*bounds))[F.col("lang")]
+    sample = labelled.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < bound)
     sample = written(sample.select("text", "lang"), "sample")
     for _ in range(rounds):
         shipped = docs.sparkSession.sparkContext.broadcast(costs.astype(np.float32))
@@ -272,6 +277,14 @@ class _Scorer:
         return found
 
 
+def model_key(model):
+    """A digest of a model's content."""
+    found = hashlib.sha256(repr((model.languages, model.vocabulary, model.costs.shape)).encode())
+    found.update(model.costs.tobytes())
+    found.update(model.priors.tobytes())
+    return found.hexdigest()
+
+
 _scorers = {}
 # Texts scored together; their distinct words are segmented in one go.
 SCORED_CHARS = 2_000_000
@@ -284,7 +297,7 @@ def identify(docs, model, text="text"):
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "score")
     names = kept.columns
-    key = id(shipped)
+    key = model_key(model)
 
     def run(batches):
         for batch in batches:
