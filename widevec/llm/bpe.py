@@ -14,7 +14,7 @@ from collections import OrderedDict
 import numpy as np
 import pyarrow as pa
 
-from widevec.llm.common import mixed, table
+from widevec.llm.common import claim, keeps, mixed, table
 from widevec.llm.words import GAP, INK, sha256_hex, word_encoder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,7 +98,7 @@ class ChunkEncoder:
         return b"".join(found)
 
 
-_encoders = {}
+_encoders = keeps("words", {})
 
 
 def chunk_encoder(tokenizer):
@@ -121,6 +121,7 @@ def encode_texts(df, text="text", tokenizer=TOKENIZER, out="ids"):
     order = [f.name for f in kept]
 
     def run(batches):
+        claim("words")
         encoder = chunk_encoder(tokenizer)
         for batch in batches:
             ids = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]
@@ -164,6 +165,7 @@ def bpe_digests(docs):
     """
 
     def run(batches):
+        claim("words")
         encoder = chunk_encoder(TOKENIZER)
         library = encoder.words.library
         for batch in batches:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from widevec.sources.scratch import scratch_path
 
+# What operators keep in a Python worker between tasks, by operator.
+_kept = {}
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -20,6 +22,21 @@ def written(df, name, mode="errorifexists"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keeps(name, cache):
+    """Declare a worker's cache, a dict, as that of an operator; returns it."""
+    _kept.setdefault(name, []).append(cache)
+    return cache
+
+
+def claim(*names):
+    """Empty what other operators have kept in this worker, which Spark may have used for an
+    earlier step."""
+    for name, caches in _kept.items():
+        if name not in names:
+            for cache in caches:
+                cache.clear()
+
+
 def utf8(column):
     """The bytes of a text; none for null."""
     return F.coalesce(column.cast("string"), F.lit("")).cast("binary")

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-from widevec.llm.common import table, utf8, written
+from widevec.llm.common import claim, keeps, table, utf8, written
 
 VOCABULARY = "piece_bpe_32k.model"
 # The classifier is fitted on a hash sample of about so many labelled documents.
@@ -285,7 +285,7 @@ def model_key(model):
     return found.hexdigest()
 
 
-_scorers = {}
+_scorers = keeps("language", {})
 # Texts scored together; their distinct words are segmented in one go.
 SCORED_CHARS = 2_000_000
 
@@ -300,6 +300,7 @@ def identify(docs, model, text="text"):
     key = model_key(model)
 
     def run(batches):
+        claim("language")
         for batch in batches:
             if key not in _scorers:
                 _scorers.clear()

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from widevec.llm.common import table
+from widevec.llm.common import claim, keeps, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -98,7 +98,7 @@ class PieceCounter:
         return total + int(np.count_nonzero(starts >= since))
 
 
-_counters = {}
+_counters = keeps("token_counts", {})
 
 
 def piece_counter(model):
@@ -120,6 +120,7 @@ def count_tokens(df, text="text", model=MODEL, out="n_tokens"):
     order = [f.name for f in kept]
 
     def run(batches):
+        claim("token_counts")
         for batch in batches:
             counts = piece_counter(model).counts([t or "" for t in batch.column(text).to_pylist()])
             columns = [*[batch.column(name) for name in order], pa.array(counts, pa.int64())]

@@ -13,6 +13,8 @@ import struct
 
 import public_tokenizers
 
+from widevec.llm.common import keeps
+
 # White space as the tokenizers see it. Python also counts the four separators 1C to 1F.
 GAP = r"[^\S\x1c-\x1f]"
 INK = r"[\S\x1c-\x1f]"
@@ -30,7 +32,7 @@ JOINED_MARK = re.compile(r"[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]
 KEPT_WORDS = 1_200_000
 LONGEST_KEPT = 64
 
-_opened = {}
+_opened = keeps("words", {})
 
 
 def packed(ids):
