@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import oracle
 import public_tokenizers
@@ -343,21 +344,20 @@ def contamination_brute(text, items):
         for k in range(len(own) - size + 1 if size else 0):
             if tuple(own[k : k + size]) in runs:
                 hit.update(range(k, k + size))
-                names.add(str(item))
-    return len(own), hit, sorted(names)
+                names.add(None if item is None else str(item))
+    return len(own), hit, sorted(names, key=lambda name: (name is None, name or ""))
 
 
 @pytest.mark.parametrize("block_words", [10**6, 40])
-def test_contamination(spark, empty, odd, monkeypatch, block_words):
-    monkeypatch.setattr(decontamination, "BLOCK_WORDS", block_words)
+def test_contamination(spark, empty, odd, block_words):
     rng = random.Random(block_words)
     text = lambda n: " ".join(rng.choice(["a", "B", "c-d", "É", "7"]) for _ in range(n))
     items = [(k, text(rng.choice([1, 2, 5, 13, 14, 20]))) for k in range(12)] + [(99, None), (98, ""), (1, "b b b a 7"), (None, "a")]
     docs = [(k, text(rng.randrange(80)) + " " + (items[k % 12][1] or "")) for k in range(40)] + [(50, None), (51, "")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for row in decontamination.contamination(frame, bench).collect():
-        n, hit, names = contamination_brute(row["text"], [i for i in items if i[0] is not None])
+    for row in decontamination.contamination(frame, bench, block_words=block_words).collect():
+        n, hit, names = contamination_brute(row["text"], items)
         assert row["n_words"] == n and row["hit_items"] == names
         assert {w for s in row["hit_spans"] for w in range(s["start"], s["end"])} == hit
     nothing = spark.createDataFrame([], "item_id long, text string")
@@ -373,6 +373,59 @@ def test_spans_are_cut_out(spark):
     assert found == {1: f"é {long}, ! end", 3: None}
 
 
+def test_items_without_id_count_as_the_sql_counts_them(spark, tmp_path):
+    docs = [(1, "alpha beta gamma delta"), (2, "one two three"), (3, None), (None, "beta gamma beta gamma")]
+    items = [(None, "beta gamma"), (None, "one two"), ("q", "gamma"), ("q", "gamma"), ("r", None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = sorted(map(tuple, decontamination.op5_decontamination(spark, str(tmp_path)).collect()), key=str)
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert found == sorted(connection.execute(decontamination.OP5_SQL).fetchall(), key=str)
+    assert {r[0]: r[3] for r in found} == {1: 2, 2: 1, 3: 0, None: 2}
+
+
+def test_many_blocks_find_what_one_finds(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(300)]
+    items = [(f"i{k}", " ".join(rng.choices(words, k=rng.choice([3, 13, 20])))) for k in range(60)]
+    items += [("long", " ".join(rng.choices(words, k=2000))), (None, items[0][1]), ("again", items[0][1])]
+    rows = []
+    for k in range(80):
+        text = rng.choices(words, k=100)
+        for _, item in rng.sample(items[:61], 2):
+            own = item.split()
+            start, at = rng.randrange(max(1, len(own) - 15)), rng.randrange(100)
+            text[at:at] = own[start : start + 15]
+        rows.append((k, " ".join(text), "x"))
+    rows += [(None, None, "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one = decontamination.contamination(docs, bench).collect()
+    written = []
+    monkeypatch.setattr(decontamination, "written", lambda df, name, f=decontamination.written: (written.append(name), f(df, name))[1])
+    many = decontamination.contamination(docs, bench, block_words=700).collect()
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    # The documents are written once, however many blocks there are.
+    assert written.count("documents") == 1 and sum(name.startswith("hits-") for name in written) > 3
+    assert sum(len(r["hit_items"]) for r in one) > 60
+
+
+def test_kept_documents_lose_spans_of_whole_windows(spark):
+    item = " ".join(f"b{k}" for k in range(13))
+    clean = " ".join(f"c{k}" for k in range(400))
+    rows = [(1, f"{clean} {item}. End", 9, "x"), (2, item, 9, "x"), (3, clean, 9, "x"), (4, f"{clean} short one", 9, "x"), (5, None, 9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, d_row string")
+    bench = spark.createDataFrame([("a", item), ("b", "short one")], "item_id string, text string")
+    found = decontamination.keep_clean(docs, bench)
+    assert found.columns == docs.columns
+    found = {r["doc_id"]: r for r in found.collect()}
+    assert set(found) == {1, 3, 4, 5}
+    assert found[1]["text"] == f"{clean} . End" and found[1]["n_chars"] == len(clean) + 6
+    assert found[3]["text"] == clean and found[3]["n_chars"] == 9 and found[4]["text"].endswith("short one") and found[5]["text"] is None
+
+
 # ------------------------------------------------------------------ 7 and 8
 
 

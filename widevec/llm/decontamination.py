@@ -9,13 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from widevec.llm.common import table, written
+from widevec.llm.common import claim, keeps, table, written
 from widevec.llm.words import sha256_hex
 
 WINDOW = 13
 # Contaminated: hit words times this reach the words of the document.
 COVERAGE = 20
-# Item words in one automaton. More make several, and documents pass through each.
+# Item words and names in one automaton. More make several, and documents pass through each.
 BLOCK_WORDS = 400_000
 
 # What is no part of a word becomes a space: 0-9, a-z and every byte of a non-ASCII character stay.
@@ -159,52 +159,111 @@ def _merged(spans):
     return [tuple(span) for span in merged]
 
 
-_built = {}
+_built = keeps("decontamination", {})
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+SPANS_SQL = "array<struct<start:long,end:long>>"
 
 
-def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_text="text"):
-    """``docs`` with ``n_words`` (long), ``hit_spans`` (words from start up to end) and
-    ``hit_items`` (ids of the items found, sorted as strings).
+def item_blocks(items, window=WINDOW, block_words=BLOCK_WORDS):
+    """(block, words, names) of items (item, text): distinct word sequences in blocks that hold
+    at most ``block_words`` words and names each, and the number of blocks.
+
+    A long item is split into pieces that share ``window`` - 1 words, so its windows are those
+    of its pieces; the names of a hot sequence are salted. Blocks are by hash; their sums are
+    checked, and there are more blocks until all are small enough.
+    """
+    piece = max(window, block_words // 8)
 
-    No shuffle: the items go to the tasks, in blocks of at most 400,000 words whose sum is
-    counted first; documents pass through one block after the other, each pass written to
-    the shared folder. Null and empty texts have no words, null items are none, repeated
-    items count once by id. Columns with the names of the new ones are replaced.
+    def split(batches):
+        for batch in batches:
+            names, found = [], []
+            for item, content in zip(batch.column("item").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                words = word_list(content)
+                for at in range(0, max(1, len(words) - window + 1), piece):
+                    if words:
+                        names.append(item)
+                        found.append(b" ".join(words[at : at + piece + window - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.binary())], ["item", "words"])
+
+    pieces = items.mapInArrow(split, "item string, words binary").distinct()
+    salts = pieces.groupBy("words").agg(F.ceil(F.count("*") / piece).alias("salts"))
+    salted = pieces.join(salts, "words").withColumn("salt", F.pmod(F.xxhash64("item"), "salts"))
+    grouped = salted.groupBy("words", "salt").agg(
+        F.sort_array(F.collect_set("item")).alias("names"), F.max(F.col("item").isNull()).alias("unnamed")
+    )
+    weight = F.size("names") + F.regexp_count(F.col("words").cast("string"), F.lit(" ")) + 2
+    grouped = written(grouped.withColumn("weight", weight.cast("long")), "items")
+    total = grouped.agg(F.sum("weight")).first()[0] or 0
+    blocks = 1 if total <= block_words else -(-3 * total // (2 * block_words))
+    while True:
+        placed = grouped.withColumn("block", F.pmod(F.xxhash64("words", "salt"), F.lit(blocks)))
+        most = placed.groupBy("block").agg(F.sum("weight").alias("sum")).agg(F.max("sum")).first()[0] or 0
+        if most <= block_words:
+            return placed.select("block", "words", "names", "unnamed"), blocks
+        blocks *= 2
+
+
+def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_text="text", block_words=BLOCK_WORDS):
+    """``docs`` with ``n_words`` (long), ``hit_spans`` (words from start up to end) and
+    ``hit_items`` (ids of the items found, sorted as strings; a null last if any found item
+    has no id, all of those counting as one).
+
+    The items go to the tasks in blocks of checked size, see ``item_blocks``. With one block,
+    as most benchmarks are, documents pass through it once and nothing is shuffled or
+    written. With more, the documents are written once with a row number, each block reads
+    them and gives the rows it hits, and these are joined back. Null and empty texts have no
+    words, items without words are none, repeated items count once by id. Columns with the
+    names of the new ones are replaced.
     """
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"),
         F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"),
-    ).filter(F.col("item").isNotNull())
-    # An upper bound of an item's words; equal items stay together.
-    weight = F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")).cast("long")
-    total = items.agg(F.sum(weight)).first()[0] or 0
-    blocks = max(1, -(-2 * total // BLOCK_WORDS)) if total > BLOCK_WORDS else 1
-    new = ["n_words", "hit_spans", "hit_items"]
-    found = docs.drop(*new)
-    names = found.columns
+    )
+    placed, blocks = item_blocks(items, window, block_words)
+    found = docs.drop("n_words", "hit_spans", "hit_items")
     plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
-    kinds = "n_words long, hit_spans array<struct<start:long,end:long>>, hit_items array<string>"
+    kinds = f"n_words long, hit_spans {SPANS_SQL}, hit_items array<string>"
+
+    def shipped(block):
+        rows = placed.filter(F.col("block") == block).select("words", "names", "unnamed")
+        held = [(bytes(r["words"]), [*r["names"], *[None] * r["unnamed"]]) for r in rows.toLocalIterator()]
+        return docs.sparkSession.sparkContext.broadcast(held)
+
+    if blocks == 1:
+        return found.mapInArrow(_scanner(shipped(0), text, window, found.columns), f"{plain}, {kinds}")
+    row, held = "_row", "_held"
+    rows = found.select(F.monotonically_increasing_id().alias(row), F.col(text).alias("text"), F.struct("*").alias(held))
+    rows = written(rows, "documents")
+    hits = None
     for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        shipped = docs.sparkSession.sparkContext.broadcast(
-            [(row["item"], row["text"].encode("utf-8")) for row in part.toLocalIterator()]
-        )
-        found = found.mapInArrow(_scanner(shipped, names, text, window, block > 0), f"{plain}, {kinds}")
-        if block + 1 < blocks:
-            found = written(found, f"block-{block}")
-    return found
+        scan = _scanner(shipped(block), "text", window, [row], hits_only=True)
+        part = written(rows.select(row, "text").mapInArrow(scan, f"{row} long, {kinds}"), f"hits-{block}")
+        hits = part if hits is None else hits.unionByName(part)
+    # A document is in a block's hits once.
+    hits = hits.groupBy(row).agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.flatten(F.collect_list("hit_items")).alias("hit_items"))
+    joined = rows.join(hits, row, "left").select("text", held, "hit_spans", "hit_items")
+    held_kind = rows.schema[held].dataType.simpleString()
+    return joined.mapInArrow(_merge_blocks, f"`{held}` {held_kind}, {kinds}").select(f"{held}.*", "n_words", "hit_spans", "hit_items")
+
+
+def _columns(counts, spans, items):
+    return [
+        pa.array(counts, pa.int64()),
+        pa.array([[{"start": s, "end": e} for s, e in row] for row in spans], SPANS),
+        pa.array([sorted(row, key=lambda name: (name is None, name or "")) for row in items], pa.list_(pa.string())),
+    ]
 
 
-def _scanner(shipped, names, text, window, again):
-    """Adds what one block's automaton finds to what earlier blocks have found."""
-    key = sha256_hex(repr((window, sorted(shipped.value))).encode())
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def _scanner(shipped, text, window, names, hits_only=False):
+    """Adds what one block's automaton finds; with ``hits_only``, to rows that it finds in."""
+    key = sha256_hex(repr((window, sorted(shipped.value, key=repr))).encode())
 
     def run(batches):
+        claim("decontamination")
         for batch in batches:
             if key not in _built:
                 _built.clear()
-                _built[key] = Automaton([(item, word_list(t)) for item, t in shipped.value], window)
+                _built[key] = Automaton([(name, words.split(b" ")) for words, own in shipped.value for name in own], window)
             automaton = _built[key]
             counts, spans, items = [], [], []
             for content in batch.column(text).cast(pa.binary()).to_pylist():
@@ -213,24 +272,24 @@ def _scanner(shipped, names, text, window, again):
                 counts.append(len(words))
                 spans.append(hit)
                 items.append(owners)
-            if again:
-                for row, old in enumerate(batch.column("hit_spans").to_pylist()):
-                    spans[row] = _merged([*spans[row], *((s["start"], s["end"]) for s in old)])
-                for row, old in enumerate(batch.column("hit_items").to_pylist()):
-                    items[row] = items[row] | set(old)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(name) for name in names],
-                    pa.array(counts, pa.int64()),
-                    pa.array([[{"start": s, "end": e} for s, e in row] for row in spans], span),
-                    pa.array([sorted(row) for row in items], pa.list_(pa.string())),
-                ],
-                [*names, "n_words", "hit_spans", "hit_items"],
+            whole = pa.RecordBatch.from_arrays(
+                [*[batch.column(name) for name in names], *_columns(counts, spans, items)], [*names, "n_words", "hit_spans", "hit_items"]
             )
+            yield whole.filter(pa.array([len(row) > 0 for row in spans], pa.bool_())) if hits_only else whole
 
     return run
 
 
+def _merge_blocks(batches):
+    """Words of each text, and what all blocks have found in it."""
+    for batch in batches:
+        counts = [len(word_list(content or b"")) for content in batch.column("text").cast(pa.binary()).to_pylist()]
+        spans = [_merged([(s["start"], s["end"]) for s in row or []]) for row in batch.column("hit_spans").to_pylist()]
+        items = [set(row or []) for row in batch.column("hit_items").to_pylist()]
+        columns = [batch.column(1), *_columns(counts, spans, items)]
+        yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[1], "n_words", "hit_spans", "hit_items"])
+
+
 def hit_words():
     return F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
@@ -271,10 +330,18 @@ def _cut(content, spans):
     return b"".join(parts)
 
 
-def keep_clean(docs, benchmark):
-    """The rows of ``docs`` that are not contaminated, with their own columns."""
+def keep_clean(docs, benchmark, lengths=("n_chars",)):
+    """The rows of ``docs`` that are not contaminated, with their own columns, and without the
+    spans of a whole window or more that they still hold of benchmark items. Where a span is
+    cut, columns named in ``lengths`` become the new length of the text."""
     rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(c) for c in docs.columns]).alias("d_row"))
-    return contamination(rows, benchmark).filter(~is_contaminated()).select("d_row.*")
+    kept = without_spans(contamination(rows, benchmark), longer_than=WINDOW - 1)
+    cut = ~F.col("text").eqNullSafe(F.col("d_row.text"))
+    own = {c: F.col("d_row").getField(c) for c in docs.columns}
+    own["text"] = F.col("text")
+    for c in set(lengths) & set(docs.columns):
+        own[c] = F.when(cut, F.length("text").cast(docs.schema[c].dataType)).otherwise(own[c])
+    return kept.select(*[column.alias(c) for c, column in own.items()])
 
 
 def op5_decontamination(spark, sf_dir):
