@@ -22,7 +22,7 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 16
 CUT_BITS = 8
 # Chunks, and bytes of a chunk, that a worker keeps.
-KEPT_CHUNKS = 60_000
+KEPT_CHUNKS = 10_000
 LONGEST_KEPT = 4096
 
 _HEAD = re.compile(f"{GAP}*{INK}*")

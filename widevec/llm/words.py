@@ -28,8 +28,8 @@ PROBES = (" Abc", "abc", " \u00c9t\u00e9", "\u00df\u00d8x", " I")
 JOINED_MARK = re.compile(r"[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n][,.]")
 
 # Distinct words that a worker keeps before it starts afresh, and the longest of them: some
-# 250 MB.
-KEPT_WORDS = 1_200_000
+# 130 MB.
+KEPT_WORDS = 600_000
 LONGEST_KEPT = 64
 
 _opened = keeps("words", {})
