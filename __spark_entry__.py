@@ -6,6 +6,7 @@ per value, so that both engines compare exact scalars.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import sys
@@ -177,8 +178,12 @@ def scan_filter_in(spark, sf_dir):
 
 
 def lake_table(spark, sf_dir):
-    cfg = owner_config(source_table=f"parquet.`{sf_dir}/documents.parquet`")
-    return wv.read_source(spark, cfg).select("doc_id", "text", "lang")
+    """A table of the session's catalog under its three-part name: only its entry is made here."""
+    schema = "lake_" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    name = f"spark_catalog.{schema}.documents"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS spark_catalog.{schema}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{sf_dir}/documents.parquet'")
+    return wv.read_source(spark, owner_config(source_table=name)).select("doc_id", "text", "lang")
 
 
 def parquet_path(spark, sf_dir):
@@ -260,6 +265,17 @@ def byt5_encode_pages(spark, sf_dir):
     return id_sums(wv.encode(table(spark, sf_dir, "pages"), "html", wv.ByteTokenizer()), "page_id")
 
 
+def byt5_encode_then_filter(spark, sf_dir):
+    """Filters written after the tokens: that on another column reaches the scan."""
+    found = wv.encode(table(spark, sf_dir, "documents"), "text", wv.ByteTokenizer(), pushdown=True)
+    return id_sums(found.filter((F.col("lang") == "de") & (F.size("ids") > 500)), "doc_id")
+
+
+def pool_then_filter(spark, sf_dir):
+    found = wv.pool(hidden_states(spark, sf_dir), "hidden", "mask", "mean", pushdown=True)
+    return long_vectors(found.filter(F.col("gid") % 2 == 0), ["pooled"])
+
+
 def byt5_encode_expr(spark, sf_dir):
     ids = wv.byte_ids_expr(F.col("text")).alias("ids")
     return long_ids(table(spark, sf_dir, "conversations").select("conv_id", "turn", ids), "conv_id", "turn")
@@ -468,6 +484,37 @@ def output_switch(spark, sf_dir):
     return long_vectors(wv.run(spark, cfg, model=byte_model(spark)).df, COLUMNS)
 
 
+def run_json(spark, sf_dir):
+    """The job as a file describes it, read back from the shared folder."""
+    job = {
+        "source_query": owner_sql(f"parquet.`{sf_dir}/customer.parquet`"),
+        "input_columns": list(COLUMNS),
+        "tokenizer_type": "byt5",
+        "vocab_path": "",
+        "model_path": "given with the call",
+        "embedding_dim": WIDTH,
+        "max_tokens": MAX_TOKENS,
+        "batch_size": 256,
+        "enable_s3_output": True,
+        "s3_output_path": scratch_path(spark, "vectors"),
+    }
+    path = scratch_path(spark, "job.json")
+    spark.createDataFrame([(json.dumps(job),)], "value string").coalesce(1).write.text(path)
+    cfg = wv.EmbedConfig.from_json(path, spark)
+    return long_vectors(wv.run(spark, cfg, model=byte_model(spark)).df, COLUMNS)
+
+
+def run_in_parts(spark, sf_dir):
+    """The same rows from four parts, each with a commit of its own."""
+    cfg = owner_config(
+        source_query=owner_sql(f"parquet.`{sf_dir}/customer.parquet`"),
+        enable_s3_output=True,
+        s3_output_path=scratch_path(spark, "vectors"),
+        output_parts=4,
+    )
+    return long_vectors(wv.run(spark, cfg, model=byte_model(spark)).df, COLUMNS)
+
+
 def run_metrics(spark, sf_dir):
     cfg = owner_config(enable_s3_output=True, s3_output_path=scratch_path(spark, "vectors"))
     done = wv.run(spark, cfg, owner_texts(spark, sf_dir), model=byte_model(spark)).metrics
@@ -505,6 +552,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             byt5_encode,
             byt5_encode_documents,
             byt5_encode_pages,
+            byt5_encode_then_filter,
+            pool_then_filter,
             byt5_encode_expr,
             byt5_fixed,
             byt5_fixed_expr,
@@ -531,6 +580,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             run_written,
             output_switch,
             run_metrics,
+            run_json,
+            run_in_parts,
         )
     }
     for mode in ("mean", "cls", "max"):
@@ -666,6 +717,7 @@ def owner_expression_sql(expression, name):
 
 def oracle_sql() -> dict[str, str]:
     byte_documents = flat_byte_ids_sql("documents", "doc_id", "text")
+    german = flat_byte_ids_sql("(SELECT * FROM documents WHERE lang = 'de') AS german", "doc_id", "text")
     byte_turns = flat_byte_ids_sql("conversations", "conv_id, turn", "text")
     word_documents = word_ids_sql("documents", "doc_id", "text")
     cut_documents = byte_ids_sql("documents", "doc_id", "text", MAX_TOKENS)
@@ -711,6 +763,10 @@ def oracle_sql() -> dict[str, str]:
         "byt5_encode": plain_ids_sql("conv_id, turn", byte_turns),
         "byt5_encode_documents": id_sums_sql("doc_id", byte_documents),
         "byt5_encode_pages": id_sums_sql("page_id", flat_byte_ids_sql("pages", "page_id", "html")),
+        "byt5_encode_then_filter": (
+            "SELECT * FROM (" + id_sums_sql("doc_id", german) + ") AS sums WHERE tokens > 500"
+        ),
+        "pool_then_filter": "SELECT * FROM (" + pool_sql("mean") + ") AS pooled WHERE gid % 2 = 0",
         "byt5_encode_expr": plain_ids_sql("conv_id, turn", byte_turns),
         "byt5_fixed": fixed_sql("documents", "doc_id", cut_documents, MAX_TOKENS),
         "byt5_fixed_expr": (
@@ -774,6 +830,8 @@ def oracle_sql() -> dict[str, str]:
         "vector_width": f"SELECT item_id AS gid, CAST({WIDTH} AS INTEGER) AS width FROM benchmark",
         "sink_roundtrip": owner_mean_sql(),
         "run_written": owner_mean_sql(),
+        "run_json": owner_mean_sql(),
+        "run_in_parts": owner_mean_sql(),
         "output_switch": owner_mean_sql(),
         "run_metrics": f"""
             SELECT count(*) AS source_rows, count(*) AS rows_processed, count(*) AS rows_written,

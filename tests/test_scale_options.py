@@ -1,0 +1,191 @@
+"""Filters through Python columns, width checks, parts that resume, folder models, profiles."""
+
+import os
+import shutil
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_plans import plan
+
+import widevec as wv
+from widevec import artifacts, testing
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def documents(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def hidden(df):
+    vector = F.array(*[F.col("n_chars").cast("float")] * 3)
+    return df.withColumns({"hidden": F.array(vector, vector), "mask": F.array(F.lit(1), F.lit(0))})
+
+
+MADE = {
+    "encode": lambda df, **how: wv.encode(df, "text", wv.ByteTokenizer(), **how),
+    "tokenize": lambda df, **how: wv.tokenize(df, "text", wv.ByteTokenizer(), 16, **how),
+    "detokenize": lambda df, **how: wv.detokenize(df.withColumn("ids", F.array(F.col("n_chars") % 256 + 3)), "ids", wv.ByteTokenizer(), **how),
+    "pool": lambda df, **how: wv.pool(hidden(df), "hidden", "mask", "mean", **how),
+}
+RESULT = {"encode": "ids", "tokenize": "ids", "detokenize": "text", "pool": "pooled"}
+
+
+@pytest.mark.parametrize("name", MADE)
+def test_later_filters_reach_the_scan(spark, sf, name):
+    made = MADE[name](documents(spark, sf), pushdown=True)
+    own = F.length(RESULT[name]) if name == "detokenize" else F.size(RESULT[name])
+    for use in (lambda df: df.filter(F.col("lang") == "de"), lambda df: df.filter((F.col("lang") == "de") & (own > 0))):
+        found = plan(use(made))
+        assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in found
+        assert found.count("ArrowEvalPython") == 1 and "Exchange" not in found
+
+
+@pytest.mark.parametrize("name", [name for name in MADE if name != "detokenize"])
+def test_lists_are_exploded_from_one_call(spark, sf, name):
+    made = MADE[name](documents(spark, sf), pushdown=True)
+    assert plan(made.select("doc_id", F.posexplode(RESULT[name]))).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("name", MADE)
+def test_pushdown_changes_no_row(spark, sf, name):
+    df = documents(spark, sf).limit(40)
+    plain, pushed = (MADE[name](df, pushdown=how) for how in (False, True))
+    assert plain.columns == pushed.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, pushed.collect()))
+
+
+def test_a_vector_of_another_width_is_not_written(spark, tmp_path):
+    rows = [(k, [1.0] * (3 if k != 5 else 2)) for k in range(8)]
+    df = spark.createDataFrame(rows, "gid long, v array<float>")
+    with pytest.raises(Exception, match="v is not a vector of 3 values: size 2"):
+        wv.write_vectors(df, str(tmp_path / "short"), 3)
+    assert not os.path.exists(tmp_path / "short" / "_SUCCESS")
+    with pytest.raises(Exception, match="size -1"):
+        wv.write_vectors(spark.createDataFrame([(1, None)], "gid long, v array<float>"), str(tmp_path / "none"), 3)
+    wv.write_vectors(df.filter("gid <> 5"), str(tmp_path / "good"), 3)
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 7
+
+
+def test_a_stopped_run_goes_on(spark, config, model, tmp_path):
+    rows = [(None if k % 10 == 0 else k % 37, f"text {k}", None) for k in range(200)]
+    df = spark.createDataFrame(rows, "gid long, a string, b string")
+    path = str(tmp_path / "vectors")
+    cfg = config(enable_s3_output=True, s3_output_path=path, output_parts=5)
+    calls = []
+
+    def stops(part):
+        calls.append(part)
+        if len(calls) == 3:
+            raise KeyboardInterrupt("the driver is lost")
+        return wv.embed(part, cfg, model=model)
+
+    with pytest.raises(KeyboardInterrupt):
+        wv.write_in_parts(df, stops, path, 5, width=8)
+    # What a lost driver leaves of the part it was in.
+    os.makedirs(f"{path}/part-00002-of-00005/_temporary/0")
+    done = {name: os.stat(f"{path}/{name}/_SUCCESS").st_mtime_ns for name in ("part-00000-of-00005", "part-00001-of-00005")}
+    result = wv.run(spark, cfg, df, model=model)
+    expected = wv.embed(df, cfg, model=model)
+    assert sorted(map(str, result.df.collect())) == sorted(map(str, expected.collect()))
+    assert {name: os.stat(f"{path}/{name}/_SUCCESS").st_mtime_ns for name in done} == done
+    assert result.metrics.rows_written == 200 and 0 < result.metrics.rows_processed < 200
+    again = wv.run(spark, cfg, df, model=model)
+    assert again.metrics.rows_processed == 0 and again.metrics.rows_written == 200
+    with pytest.raises(ValueError, match="another number of parts"):
+        wv.run(spark, config(enable_s3_output=True, s3_output_path=path, output_parts=4), df, model=model)
+
+
+def external_model(monkeypatch, folder, weights, scale=1.0):
+    """The check model with its table of token vectors in a file beside the graph."""
+    os.makedirs(folder)
+    tensor = testing._tensor
+
+    def outside(name, kind, array):
+        if name != "table":
+            return tensor(name, kind, array)
+        content = (array * np.float32(scale)).tobytes()
+        os.makedirs(os.path.dirname(f"{folder}/{weights}"), exist_ok=True)
+        with open(f"{folder}/{weights}", "wb") as handle:
+            handle.write(content)
+        entry = lambda key, value: testing._field(13, testing._field(1, key) + testing._field(2, value))
+        dims = b"".join(testing._number(1, size) for size in array.shape)
+        place = entry(b"location", weights.encode()) + entry(b"length", str(len(content)).encode())
+        return dims + testing._number(2, kind) + testing._field(8, name.encode()) + place + testing._number(14, 1)
+
+    monkeypatch.setattr(testing, "_tensor", outside)
+    with open(f"{folder}/model.onnx", "wb") as handle:
+        handle.write(testing.check_model())
+    monkeypatch.setattr(testing, "_tensor", tensor)
+
+
+def test_models_of_several_files(spark, config, model, monkeypatch, tmp_path):
+    external_model(monkeypatch, f"{tmp_path}/one/model", "data/weights.bin")
+    external_model(monkeypatch, f"{tmp_path}/two/model", "data/weights.bin", scale=2.0)
+    df = spark.createDataFrame([(k, f"text {k}", None) for k in range(20)], "gid long, a string, b string")
+    vectors = lambda made: {r["gid"]: np.array([*r["a"], *r["b"]]) for r in made.collect()}
+    plain = vectors(wv.embed(df, config(), model=model))
+    one = vectors(wv.embed(df, config(model_path=f"{tmp_path}/one/model")))
+    two = vectors(wv.embed(df, config(model_path=f"file:{tmp_path}/two/model")))
+    # Names and graphs are equal, weights are not.
+    assert all((one[k] == plain[k]).all() and (two[k] == 2 * plain[k]).all() for k in plain)
+    shutil.copytree(f"{tmp_path}/one/model", f"{tmp_path}/three")
+    shipped = [artifacts.ship_folder(spark, f"{tmp_path}/{name}") for name in ("one/model", "three", "two/model")]
+    assert shipped[0].digest == shipped[1].digest != shipped[2].digest
+    with open(f"{tmp_path}/three/second.onnx", "wb") as handle:
+        handle.write(b"x")
+    with pytest.raises(ValueError, match="name the main file"):
+        artifacts.ship_folder(spark, f"{tmp_path}/three")
+    assert artifacts.ship_folder(spark, f"{tmp_path}/three", "model.onnx").main == "model.onnx"
+
+
+PROFILE = """
+import os, sys, tempfile
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import widevec as wv
+from widevec.testing import check_model
+spark = (SparkSession.builder.master("local-cluster[1,4,1024]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").config("spark.executor.memory", "1g").config("spark.driver.host", "127.0.0.1")
+         .config("spark.checkpoint.dir", "file://" + {shared!r}).getOrCreate())
+wv.ship_package(spark)
+df = spark.range(50).selectExpr("id AS gid", "concat('text ', id) AS a", "cast(null AS string) AS b")
+cfg = wv.EmbedConfig(embedding_dim=8, max_tokens=16, batch_size=4, input_columns=("a", "b"), tokenizer_type="byt5")
+model = wv.model_from_bytes(spark, check_model())
+profile = wv.inference_profile(cpus_per_task=2)
+plain = sorted(map(str, wv.embed(df, cfg, model=model).collect()))
+found = wv.embed(df, cfg, model=model, profile=profile)
+text = found._jdf.queryExecution().executedPlan().toString()
+assert sorted(map(str, found.collect())) == plain
+assert text.count("MapInArrow") == 2 and text.count("Exchange") == 1, text
+default = spark.sparkContext._jsc.sc().resourceProfileManager().defaultResourceProfile().id()
+rdd = found._jdf.queryExecution().toRdd()
+def profiles(rdd, met):
+    own = rdd.getResourceProfile()
+    met.append(None if own is None else own.id())
+    parents = rdd.dependencies()
+    for k in range(parents.size()):
+        profiles(parents.apply(k).rdd(), met)
+    return met
+met = [p for p in profiles(rdd, []) if p is not None and p != default]
+print("PROFILES", len(set(met)), len(met))
+spark.stop()
+"""
+
+
+def test_only_the_model_stage_has_the_profile(tmp_path):
+    script = PROFILE.format(root=ROOT, shared=str(tmp_path))
+    env = os.environ | {"PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13"}
+    done = subprocess.run([sys.executable, "-c", script], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "PROFILES 1 1" in done.stdout
+
+
+def test_unknown_keys_are_named(tmp_path, caplog):
+    path = tmp_path / "job.json"
+    path.write_text('{"embedding_dim": 8, "max_tokens": 4, "batch_size": 2, "vocab_path": "", "onnx_path": "m", "max_tokns": 9}')
+    assert wv.EmbedConfig.from_json(str(path)).max_tokens == 4
+    assert "max_tokns" in caplog.text and "onnx_path" not in caplog.text

@@ -1,10 +1,13 @@
 """Job configuration."""
 
 import json
+import logging
 from dataclasses import dataclass, fields
 
 from widevec.sources.files import read_json
 
+log = logging.getLogger(__name__)
+
 REQUIRED_KEYS = ("embedding_dim", "max_tokens", "batch_size", "vocab_path")
 SOURCE_KEYS = ("source_query", "source_table", "source_path")
 
@@ -24,6 +27,9 @@ class EmbedConfig:
 
     ``reuse_repeats`` runs a text that repeats nearby once; switch it off for a model whose
     vectors depend on the other texts of a call.
+
+    ``output_parts`` writes that many parts, each with a commit of its own, so that a run that
+    was stopped goes on with those that are missing.
     """
 
     embedding_dim: int
@@ -43,11 +49,12 @@ class EmbedConfig:
     partitions: int | None = None
     trim_padding: bool = False
     reuse_repeats: bool = True
+    output_parts: int | None = None
 
     def __post_init__(self):
-        for name in ("embedding_dim", "max_tokens", "batch_size", "partitions"):
+        for name in ("embedding_dim", "max_tokens", "batch_size", "partitions", "output_parts"):
             value = getattr(self, name)
-            if name == "partitions" and value is None:
+            if name in ("partitions", "output_parts") and value is None:
                 continue
             if isinstance(value, bool) or not isinstance(value, int):
                 raise TypeError(f"{name} must be an integer, got {value!r}")
@@ -68,7 +75,7 @@ class EmbedConfig:
     @classmethod
     def from_json(cls, path, spark=None):
         """Read a JSON file, on any file system that ``spark`` can read, on the driver's disk
-        without one. Keys the job does not know are ignored."""
+        without one. Keys the job does not know are named in a warning and left out."""
         if spark is not None:
             raw = read_json(spark, path)
         else:
@@ -79,6 +86,9 @@ class EmbedConfig:
             raise ValueError(f"{path} lacks required keys {missing}")
         known = {field.name for field in fields(cls)}
         values = {key: value for key, value in raw.items() if key in known}
+        unknown = sorted(set(raw) - known - {"onnx_path"})
+        if unknown:
+            log.warning("%s has keys that the job does not know: %s", path, ", ".join(unknown))
         # Files written by a model exporter name the model "onnx_path".
         values.setdefault("model_path", raw.get("onnx_path", ""))
         if not values["model_path"]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from widevec.functions.tokens import SLICE_VALUES, slices
+from widevec.functions.tokens import SLICE_VALUES, call_once, slices
 from widevec.sources.files import read_json
 from widevec.tokenizer import gather_ragged, list_parts, to_list_array
 
@@ -97,7 +97,7 @@ def pool_lists(hidden, mask, mode):
     return to_list_array(pooled.astype(np.float32).ravel(), np.where(filled, width, 0))
 
 
-def pool_udf(mode):
+def pool_udf(mode, pushdown=False):
     """Arrow UDF over ``struct<hidden, mask>``, sums in double precision."""
 
     def pool(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -109,7 +109,7 @@ def pool_udf(mode):
                 yield pool_lists(piece, mask.slice(start, len(piece)), mode)
                 start += len(piece)
 
-    return arrow_udf(pool, T.ArrayType(T.FloatType(), False)).asNondeterministic()
+    return call_once(arrow_udf(pool, T.ArrayType(T.FloatType(), False)), pushdown)
 
 
 def pool_expr(hidden, mask, mode):

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark import TaskContext
 
-from widevec.artifacts import Artifact, ship_bytes, ship_file
+from widevec.artifacts import Artifact, is_folder, ship_bytes, ship_file, ship_folder
 from widevec.functions.pooling import pool_tensor, read_pooling_mode
 
 # Fixed names of the model's inputs and outputs.
@@ -108,10 +108,12 @@ def device_providers(available):
 
 
 def load_model(spark, cfg):
-    """The model at ``model_path``, pooled as its flags file says if it needs pooling."""
+    """The model at ``model_path``, pooled as its flags file says if it needs pooling: one file,
+    or a folder with one ``.onnx`` file and the weights that it names."""
     if not cfg.model_path:
         raise ValueError("model_path is empty")
-    return OnnxModel(ship_file(spark, cfg.model_path), read_pooling_mode(cfg.pooling_config_path, spark))
+    ship = ship_folder if is_folder(spark, cfg.model_path) else ship_file
+    return OnnxModel(ship(spark, cfg.model_path), read_pooling_mode(cfg.pooling_config_path, spark))
 
 
 def model_from_bytes(spark, content, pooling="mean"):

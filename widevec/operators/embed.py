@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from widevec.model import load_model
 from widevec.operators.perspectives import bind_columns, quoted
-from widevec.tokenizer import gather_ragged, list_type, make_tokenizer, pad_fixed
+from widevec.tokenizer import gather_ragged, list_parts, list_type, make_tokenizer, pad_fixed
 
 SHORTEST_PADDING = 16
 # Tokens and vectors a task holds at a time.
@@ -22,7 +22,7 @@ def output_schema(cfg, columns=None):
     return T.StructType([T.StructField("gid", T.LongType(), False), *vectors])
 
 
-def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, reuse_repeats=None):
+def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, reuse_repeats=None, profile=None):
     """``gid`` plus one ``array<float>`` of ``embedding_dim`` per text column.
 
     One narrow stage and no shuffle. Filter and pick ``columns`` before this operator, since
@@ -34,24 +34,72 @@ def embed(df, cfg, columns=None, partitions=None, model=None, tokenizer=None, re
     long (``CALL_TOKENS``). ``reuse_repeats``, by default as the configuration says, runs a text that repeats within a window of such batches, in whatever column, through
     tokenizer and model once, and fills the calls with distinct texts. It is exact for a
     model whose vectors depend on the text alone.
+
+    ``profile``, see ``inference_profile``, puts the model's stage on tasks with resources of
+    their own, while reading and tokenizing run on ordinary ones. The ids cross between the
+    two stages in one round-robin shuffle of at most ``max_tokens`` ids a text.
     """
     tokenizer = make_tokenizer(df.sparkSession, cfg) if tokenizer is None else tokenizer
-    texts = prepare_texts(df, cfg, tokenizer, columns, partitions)
-    return infer_vectors(texts, cfg, tokenizer, model, reuse_repeats)
+    if profile is None:
+        texts = prepare_texts(df, cfg, tokenizer, columns, partitions)
+        return infer_vectors(texts, cfg, tokenizer, model, reuse_repeats)
+    count = cfg.partitions if partitions is None else partitions
+    count = count or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = packed_ids(_texts(df, cfg, tokenizer, columns), cfg, tokenizer).repartition(count)
+    return infer_vectors(ids, cfg, PackedIds(), model, reuse_repeats, profile)
 
 
 def prepare_texts(df, cfg, tokenizer, columns=None, partitions=None):
     """The bound rows as they go to Python: the id, and of every text what will be encoded."""
+    texts = _texts(df, cfg, tokenizer, columns)
+    count = cfg.partitions if partitions is None else partitions
+    return texts if count is None else texts.repartition(count)
+
+
+def _texts(df, cfg, tokenizer, columns):
     bound = bind_columns(df, cfg, columns)
     names = bound.columns[1:]
-    texts = bound.select(
+    return bound.select(
         "gid", *(tokenizer.text_input(F.col(quoted(name)), cfg.max_tokens).alias(name) for name in names)
     )
-    count = cfg.partitions if partitions is None else partitions
-    return texts if count is None else texts.repartition(count)
 
 
-def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=None):
+class PackedIds:
+    """The tokenizer of texts that are ids already: little-endian 32-bit integers as bytes."""
+
+    def open(self):
+        return self
+
+    def encode(self, packed):
+        starts, lengths, values = list_parts(packed)
+        ids = gather_ragged(starts, lengths, values).view(np.int32)
+        return ids, lengths // 4
+
+
+def packed_ids(texts, cfg, tokenizer):
+    """``gid`` and the first ``max_tokens`` ids of every text as bytes: the stage before that of
+    the model."""
+    names = texts.columns
+
+    def tokenize_batches(batches):
+        encoder = None
+        for batch in batches:
+            encoder = encoder or tokenizer.open()
+            columns = [batch.column(0)]
+            for column in batch.columns[1:]:
+                values, lengths = encoder.encode(column)
+                kept = np.minimum(lengths, cfg.max_tokens)
+                ids = gather_ragged(np.cumsum(lengths) - lengths, kept, np.ascontiguousarray(values, np.int32))
+                ends = np.concatenate(([0], np.cumsum(kept))) * 4
+                packed = pa.py_buffer(np.ascontiguousarray(ids).tobytes())
+                columns.append(pa.BinaryArray.from_buffers(pa.binary(), len(kept), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), packed]))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = T.StructType([texts.schema["gid"], *(T.StructField(name, T.BinaryType(), False) for name in names[1:])])
+    return texts.mapInArrow(tokenize_batches, schema)
+
+
+def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=None, profile=None):
     reuse_repeats = cfg.reuse_repeats if reuse_repeats is None else reuse_repeats
     model = load_model(texts.sparkSession, cfg) if model is None else model
     schema = output_schema(cfg, texts.columns[1:])
@@ -76,7 +124,7 @@ def infer_vectors(texts, cfg, tokenizer, model=None, reuse_repeats=None):
                     ids = rows.column(0).slice(first, batch_size)
                     yield pa.RecordBatch.from_arrays([ids, *lists], names=schema.names)
 
-    return texts.mapInArrow(embed_batches, schema)
+    return texts.mapInArrow(embed_batches, schema, profile=profile)
 
 
 def window_rows(cfg, texts_per_row):

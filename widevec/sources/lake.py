@@ -1,5 +1,6 @@
 """Reading the rows to embed, and the Spark settings that reach a lake and an object store."""
 
+from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import functions as F
 
 from widevec.config import SOURCE_KEYS
@@ -91,3 +92,27 @@ def task_conf(
     if gpus_per_task:
         conf["spark.task.resource.gpu.amount"] = str(gpus_per_task)
     return conf
+
+
+def inference_profile(cpus_per_task=1, gpus_per_task=0.0, executor_cores=None, executor_memory=None, gpus=0, gpu_script=None):
+    """Resources of the model's stage alone, for ``embed(..., profile=)``.
+
+    Without executor settings the tasks use the executors that the session has, with as many
+    cores and GPUs each as said here. With them, and dynamic allocation, Spark starts
+    executors of that size for this stage and lets them go after it; ``gpu_script`` is the
+    discovery script of the cluster.
+    """
+    tasks = TaskResourceRequests().cpus(cpus_per_task)
+    if gpus_per_task:
+        tasks = tasks.resource("gpu", gpus_per_task)
+    builder = ResourceProfileBuilder().require(tasks)
+    if executor_cores or executor_memory or gpus:
+        executors = ExecutorResourceRequests()
+        if executor_cores:
+            executors = executors.cores(executor_cores)
+        if executor_memory:
+            executors = executors.memory(executor_memory)
+        if gpus:
+            executors = executors.resource("gpu", gpus, gpu_script or "")
+        builder = builder.require(executors)
+    return builder.build
