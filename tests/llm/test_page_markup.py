@@ -1,0 +1,67 @@
+"""Pages whose markup is hostile, or whose classes only look like marks."""
+
+import time
+
+import pytest
+
+from widevec.llm import pages
+from widevec.llm.pages import blocks
+
+HOSTILE = {
+    "open quotes": "<a '",
+    "unknown ends": "<b></i>",
+    "unclosed inline": "<b><p></p>",
+    "quoted ends": '<a ">" ',
+    "mixed quotes": "\"'<a href=\"",
+    "starts": "<",
+    "scripts": "<script></scrip",
+    "declarations": "<!",
+    "comments": "<!--",
+    "marks": "<div class=ad>",
+    "entities": "&am",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_a_megabyte_takes_under_two_seconds_of_work(name):
+    page = HOSTILE[name] * (1_000_000 // len(HOSTILE[name]))
+    started = time.process_time()
+    blocks(page)
+    assert time.process_time() - started < 4
+
+
+def test_tags_end_where_quotes_allow():
+    assert blocks('<p title="a > b">one</p><p title=\'"\'>two</p>') == [("one", 1), ("two", 1)]
+    # An open quote ends with its tag.
+    assert blocks("<p title='a>one</p><p>two</p>") == [("one", 1), ("two", 1)]
+    assert blocks("a < b <p>c <!-- <p>d --> e") == [("a < b", 1), ("c e", 1)]
+    assert blocks("one <!-- never closed <p>two") == [("one", 1)]
+    assert blocks("one <a href='x'") == [("one <a href='x'", 1)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content has-sidebar"><p>one</p></div>',
+        '<article><div class="no-comments"><p>one</p></div></article>',
+        '<div id="page" class="search-results"><p>one</p></div>',
+        '<div class="page-header"><main><p>one</p></main></div>',
+    ],
+)
+def test_wrappers_keep_their_text(page):
+    ((line, zone),) = blocks(page)
+    assert line == "one" and zone > 0
+
+
+def test_marks_take_out_what_is_no_main_text():
+    page = '<article>main</article><section class="reader-comments"><article>long long comment</article></section><div id="site-nav">x</div>'
+    assert blocks(page) == [("main", 2), ("long long comment", 0), ("x", 0)]
+
+
+def test_no_pages_and_extra_columns(spark):
+    schema = "page_id long, url string, html string, text string, host string, places string"
+    nothing = spark.createDataFrame([], schema)
+    assert pages.extract_pages(nothing).collect() == []
+    rows = [(1, "http://a/x", "<p>one</p><p>both</p>", "t", "h", "p"), (2, "http://a/y", "<p>two</p><p>both</p>", "t", "h", "p"), (None, None, None, "t", "h", "p")]
+    found = {r["page_id"]: r["text"] for r in pages.extract_pages(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {1: "one", 2: "two", None: ""}

@@ -9,6 +9,7 @@ page without being text.
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,109 +49,191 @@ MARKS = frozenset(
     " login search widget toolbar pagination contentinfo complementary".split()
 )
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A class of several parts counts by its last one, unless the first says that it is not there.
+DENIED = frozenset("has no not with without hide hidden show toggle".split())
+
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile(r"[>\"']")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-WORD = re.compile(r"[a-z]+")
+PART = re.compile(r"[a-z]+")
+
+
+def tags(page):
+    """(start, end, closing, name, attributes) of each tag and, with name None, of each comment
+    or declaration, from left to right. The caller sends where to go on.
+
+    A single pass, whatever stands in the page: a tag ends at the first ``>`` outside quotes;
+    once there is none up to the end of the page, quotes no longer count, and after the last
+    ``>`` there are no tags.
+    """
+    last = page.rfind(">")
+    last_quote = {quote: page.rfind(quote) for quote in "\"'"}
+    quoting = True
+    at = page.find("<")
+    while 0 <= at:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            skip = yield at, len(page) if end < 0 else end + 3, False, None, ""
+        elif at > last:
+            # Only a comment could still begin here.
+            at = page.find("<!--", at)
+            continue
+        elif page.startswith(("<!", "<?"), at):
+            skip = yield at, page.find(">", at) + 1, False, None, ""
+        else:
+            match = NAME.match(page, at, last + 1)
+            if match is None:
+                at = page.find("<", at + 1)
+                continue
+            begin = found = match.end()
+            end = -1
+            while quoting:
+                mark = SPECIAL.search(page, found)
+                if mark is None:
+                    quoting = False
+                elif mark.group() == ">":
+                    end = mark.start()
+                    break
+                elif mark.start() == last_quote[mark.group()]:
+                    quoting = False
+                else:
+                    found = page.find(mark.group(), mark.end()) + 1
+            if end < 0:
+                end = page.find(">", begin)
+            skip = yield at, end + 1, bool(match.group(1)), match.group(2).lower(), page[begin:end]
+        at = page.find("<", skip)
 
 
 def blocks(page):
     """(text, zone) of each text block in page order. zone: 0 inside something marked as no
     main text, 2 or more inside an article or main element, a number for each, 1 elsewhere.
-    An article in an article is of the outer one, the first in a main element of that."""
-    found, text, stack = [], [], []
+    An article in an article is of the outer one, the first in a main element of that.
+
+    A class, id or role that marks an element does not count if the element holds all of the
+    page's articles and main elements and most of its text: that is the page, not an aside.
+    Time is in proportion to the page.
+    """
+    found, wrappers = _parsed(page, ())
+    return _parsed(page, wrappers)[0] if wrappers else found
+
+
+def _parsed(page, ignored):
+    found, text = [], []
+    # Open elements: name, zone, number of the mark. Of block elements also their place.
+    stack, open_blocks, open_names = [], [], Counter()
     zone = 1
-    articles, unused = 0, set()
+    articles, unused, open_articles = 0, set(), 0
+    # Of every marked element: text and main elements before it, and in it.
+    marks, letters, mains = [], 0, 0
     at = 0
 
     def flush():
+        nonlocal letters
         if text:
             line = " ".join(entities.unescape("".join(text)).split())
             if line:
                 found.append((line, zone))
+                letters += len(line)
             text.clear()
 
     def zone_of():
         return stack[-1][1] if stack else 1
 
-    for match in TAG.finditer(page):
-        if match.start() < at:
-            continue
-        if match.start() > at and zone >= 0:
-            text.append(page[at : match.start()])
-        at = match.end()
-        name = match.group(2)
-        if name is None:
-            continue
-        name = name.lower()
+    def pop():
+        nonlocal open_articles
+        name, own, mark = stack.pop()
+        open_names[name] -= 1
+        if name in BLOCK:
+            open_blocks.pop()
+        if name == "article" and own >= 2:
+            open_articles -= 1
+        if mark is not None:
+            marks[mark] = (letters - marks[mark][0], mains - marks[mark][1])
+        return name
+
+    walk = tags(page)
+    match = next(walk, None)
+    while match is not None:
+        start, end, closing, name, attributes = match
+        if start > at and zone >= 0:
+            text.append(page[at:start])
+        at = end
         if name == "br":
             text.append(" ")
-            continue
-        if match.group(1):
-            if name in VOID or not any(open_name == name for open_name, _ in stack):
-                continue
+        elif name is not None and closing:
+            if name not in VOID and open_names[name]:
+                if name in BLOCK or name in SILENT:
+                    flush()
+                while pop() != name:
+                    pass
+                zone = zone_of()
+        elif name is not None:
             if name in BLOCK or name in SILENT:
                 flush()
-            while stack:
-                open_name, _ = stack.pop()
-                if open_name == name:
-                    break
-            zone = zone_of()
-            continue
-        if name in BLOCK or name in SILENT:
-            flush()
-        if name in VOID:
-            continue
-        if name in RAW:
-            # No tags inside: everything up to the end tag is not text.
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        if name in CLOSED_BY:
-            _close(stack, CLOSED_BY[name])
-            zone = zone_of()
-        attributes = match.group(3)
-        if attributes.rstrip().endswith("/") and name not in BLOCK:
-            continue
-        outer = zone_of()
-        own = _zone(name, attributes, outer)
-        if name in MAIN and own >= 2:
-            nested = outer >= 2 and (name == "main" or outer in unused or any(n == "article" and z >= 2 for n, z in stack))
-            if nested:
-                own = outer
-            else:
-                articles += 1
-                own = articles + 1
-            if name == "article":
-                unused.discard(own)
-            elif not nested:
-                unused.add(own)
-        stack.append((name, own))
-        zone = own
+            if name in RAW:
+                # No tags inside: everything up to the end tag is not text.
+                close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+                at = close.end() if close else len(page)
+            elif name not in VOID:
+                # A new block ends an open one of these, and what is still open inside it.
+                if name in CLOSED_BY and open_blocks and stack[open_blocks[-1]][0] in CLOSED_BY[name]:
+                    for _ in range(len(stack) - open_blocks[-1]):
+                        pop()
+                zone = zone_of()
+                if name in BLOCK or not attributes.rstrip().endswith("/"):
+                    outer, mark = zone, None
+                    own = _zone(name, outer)
+                    if name in MAIN:
+                        mains += 1
+                    if attributes and name not in ("body", "html", "main", "article") and _marked(attributes):
+                        mark = len(marks)
+                        marks.append((letters, mains))
+                        if own > 0 and mark not in ignored:
+                            own = 0
+                    if name in MAIN and own >= 2:
+                        nested = outer >= 2 and (name == "main" or outer in unused or open_articles > 0)
+                        if nested:
+                            own = outer
+                        else:
+                            articles += 1
+                            own = articles + 1
+                        if name == "article":
+                            unused.discard(own)
+                            open_articles += 1
+                        elif not nested:
+                            unused.add(own)
+                    if name in BLOCK:
+                        open_blocks.append(len(stack))
+                    stack.append((name, own, mark))
+                    open_names[name] += 1
+                    zone = own
+        try:
+            match = walk.send(at)
+        except StopIteration:
+            match = None
     if at < len(page) and zone >= 0:
         text.append(page[at:])
     flush()
-    return found
+    while stack:
+        pop()
+    return found, [k for k, (own, held) in enumerate(marks) if mains and held == mains and 2 * own > letters]
 
 
-def _close(stack, names):
-    """A new block ends an open one of these, and what is still open inside it."""
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] in names:
-            del stack[k:]
-            return
-        if stack[k][0] in BLOCK:
-            return
+def _marked(attributes):
+    """Whether a class, id or role says that an element is no main text."""
+    for groups in NAMED.findall(attributes):
+        for name in "".join(groups).lower().split():
+            parts = PART.findall(name)
+            if parts and parts[-1] in MARKS and parts[0] not in DENIED:
+                return True
+    return False
 
 
-def _zone(name, attributes, outer):
+def _zone(name, outer):
     if outer < 0 or name in SILENT:
         return -1
     if outer == 0 or name in ASIDE or (name == "header" and outer < 2):
         return 0
-    if attributes:
-        for groups in NAMED.findall(attributes):
-            if name not in ("body", "html", "main", "article") and not MARKS.isdisjoint(WORD.findall("".join(groups).lower())):
-                return 0
     return 2 if name in MAIN else outer
 
 
