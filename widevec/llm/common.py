@@ -1,6 +1,9 @@
 """What the operators of this subpackage share."""
 
+import gc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from widevec.sources.scratch import scratch_path
@@ -31,10 +34,15 @@ def keeps(name, cache):
 def claim(*names):
     """Empty what other operators have kept in this worker, which Spark may have used for an
     earlier step."""
+    dropped = False
     for name, caches in _kept.items():
         if name not in names:
             for cache in caches:
+                dropped = dropped or bool(cache)
                 cache.clear()
+    if dropped:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column):

@@ -81,7 +81,7 @@ def _pieces(name):
     return _opened[name]
 
 
-_opened = {}
+_opened = keeps("language", {})
 
 
 def forward(edges, sizes, costs):
@@ -210,6 +210,7 @@ def _counter(shipped, languages, vocabulary):
     place = {lang: k for k, lang in enumerate(languages)}
 
     def run(batches):
+        claim("language")
         pieces, costs = _pieces(vocabulary), shipped.value.astype(np.float64)
         uses, seen = np.zeros(costs.shape), {}
 
