@@ -18,7 +18,7 @@ from widevec.llm.common import claim, keeps, mixed, table
 from widevec.llm.words import GAP, INK, sha256_hex, word_encoder
 
 TOKENIZER = "word_bpe_49k.json"
-# The hash looks at so many bytes; a cut comes every 256 bytes or so.
+# The hash looks at so many bytes, a power of two; a cut comes every 256 bytes or so.
 WINDOW = 16
 CUT_BITS = 8
 # Chunks, and bytes of a chunk, that a worker keeps.
@@ -26,7 +26,8 @@ KEPT_CHUNKS = 10_000
 LONGEST_KEPT = 4096
 
 _HEAD = re.compile(f"{GAP}*{INK}*")
-_TAIL = re.compile(rf"{GAP}*{INK}*\Z")
+# The last word from behind: searching for it forwards would try every place before it.
+_LIAT = re.compile(f"{INK}*{GAP}*")
 _BYTES = mixed(np.arange(256, dtype=np.uint64), 11)
 
 
@@ -38,11 +39,13 @@ def cuts(content):
         return [n] if n else []
     codes = np.frombuffer(content, np.uint8)
     values = _BYTES[codes]
-    # Rotated sums: the hash of a window depends on its bytes and their order alone.
-    total = np.zeros(n - WINDOW + 1, np.uint64)
+    # A polynomial of the window's bytes, which depends on them and their order alone: that of
+    # twice as many bytes is put together from two of half the length.
+    total, width, base = values, 1, 0x5851F42D4C957F2D
     with np.errstate(over="ignore"):
-        for k in range(WINDOW):
-            total = total * np.uint64(0x5851F42D4C957F2D) + values[k : n - WINDOW + 1 + k]
+        while width < WINDOW:
+            total = total[:-width] * np.uint64(base) + total[width:]
+            width, base = 2 * width, base * base % 2**64
     ends = np.flatnonzero(total >> np.uint64(64 - CUT_BITS) == 0) + WINDOW
     starts = np.append(np.flatnonzero((codes & 0xC0) != 0x80), n)
     found = np.unique(starts[np.searchsorted(starts, ends)])
@@ -71,9 +74,8 @@ class ChunkEncoder:
         if len(head) == len(text):
             found = (text, None, "")
         else:
-            tail = _TAIL.search(text, len(head)).group()
-            inner = text[len(head) : len(text) - len(tail)]
-            found = (head, self.words.unmarked(inner), tail)
+            last = len(text) - _LIAT.match(text[: len(head) - 1 : -1] if head else text[::-1]).end()
+            found = (head, self.words.unmarked(text[len(head) : last]), text[last:])
         if len(content) <= LONGEST_KEPT:
             self.chunks[content] = found
             if len(self.chunks) > KEPT_CHUNKS:
@@ -91,10 +93,10 @@ class ChunkEncoder:
             start = end
             joint.append(head)
             if ids is not None:
-                found.append(words.unmarked("".join(joint)))
+                found.append(words.joint("".join(joint)))
                 found.append(ids)
                 joint = [tail]
-        found.append(words.unmarked("".join(joint)))
+        found.append(words.joint("".join(joint)))
         return b"".join(found)
 
 

@@ -27,8 +27,8 @@ PROBES = (" Abc", "abc", " \u00c9t\u00e9", "\u00df\u00d8x", " I")
 # A comma or full stop that does not follow a letter, a digit or a line end.
 JOINED_MARK = re.compile(r"[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n][,.]")
 
-# Distinct words that a worker keeps before it starts afresh, and the longest of them: some
-# 130 MB.
+# Distinct words that a worker keeps, in two halves of which the older one is dropped when the
+# younger one is full, and the longest of them: some 130 MB.
 KEPT_WORDS = 600_000
 LONGEST_KEPT = 64
 
@@ -66,7 +66,7 @@ class WordEncoder:
         self.library.no_padding()
         self.model = self.library.model
         self.marks = [added.content for added in self.library.get_added_tokens_decoder().values()]
-        self.known = {}
+        self.known, self.older = {}, {}
         # Plain words skip the library's pattern matching if this gives just the same.
         self.direct = None
         for lower in (False, True):
@@ -105,20 +105,27 @@ class WordEncoder:
     def one(self, word):
         ids = self.known.get(word)
         if ids is None:
-            ids = self._word(word)
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._word(word)
             if len(word) <= LONGEST_KEPT:
                 self.known[word] = ids
         return ids
 
     def words_ids(self, words):
         """The ids of words, back to back."""
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+        if len(self.known) > KEPT_WORDS // 2:
+            self.known, self.older = {}, self.known
         found = list(map(self.known.get, words))
         if None in found:
             found = [self.one(words[k]) if ids is None else ids for k, ids in enumerate(found)]
         return b"".join(found)
 
+    def joint(self, text):
+        """The ids of a short stretch, mostly one word that is known."""
+        ids = self.known.get(text)
+        return self.unmarked(text) if ids is None else ids
+
     def encode(self, text):
         """A text with the string of a special token in it goes to the library whole."""
         if any(mark in text for mark in self.marks):
