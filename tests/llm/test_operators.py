@@ -85,8 +85,10 @@ def kd_brute(rows, shards):
     return split(rows, 0, shards)
 
 
-@pytest.mark.parametrize("shards", [1, 3, 8])
-def test_kd_tree_is_that_of_sorting(spark, shards):
+@pytest.mark.parametrize("shards, cell_rows", [(1, 0), (3, 0), (8, 0), (3, 150), (8, 150), (100, 1000)])
+def test_kd_tree_is_that_of_sorting(spark, monkeypatch, shards, cell_rows):
+    """By histograms alone, by both ways, and by windows alone."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell_rows)
     rng = random.Random(shards)
     data = [((float(rng.randrange(3)), float(rng.randrange(40)), rng.random()), rng.randrange(1 << 32), rng.randrange(1 << 32), rng.randrange(1, 90)) for _ in range(300)]
     frame = spark.createDataFrame([(k, *r[0], *r[1:]) for k, r in enumerate(data)], "k long, a double, b double, c double, t1 long, t2 long, size long")
@@ -106,6 +108,32 @@ def test_shards_of_odd_rows(odd, empty):
     assert {r["size"] for r in rows if r["text_crc32"] == 0} == {1}
 
 
+def test_op1(spark, sf):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = sharding.op1_kd_shards(spark, sf).collect()
+    assert {r["doc_id"] for r in found} == set(docs) and len(found) == len(docs)
+    total, largest, slots = collections.Counter(), 0, collections.defaultdict(list)
+    for row in found:
+        content = (docs[row["doc_id"]] or "").encode()
+        assert (row["size"], row["text_crc32"]) == (len(content) + 1, zlib.crc32(content))
+        assert (row["law"], row["grown_shard"]) == ("bytes", None)
+        total[row["shard"]] += row["size"]
+        largest = max(largest, row["size"])
+        slots[row["shard"]].append(row["slot"])
+    assert sorted(total) == list(range(8))
+    # Each of three levels misses its half by half a document at most.
+    assert all(abs(size - sum(total.values()) / 8) <= 1.5 * largest for size in total.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shards_of_target_bytes(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = sharding.shard_documents(docs, target_bytes=16_384, shards=None).collect()
+    leaves = -(-sum(r["size"] for r in found) // 16_384)
+    assert leaves > 8 and {r["shard"] for r in found} <= set(range(leaves))
+    assert len(found) == docs.count()
+
+
 # ------------------------------------------------------------------ 2 and 6
 
 
@@ -568,7 +596,7 @@ def test_archives(spark):
         warc.write_warc(frame, path, roll_bytes=roll)
         found = warc.read_warc(spark, path).collect()
         assert collections.Counter((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in found) == collections.Counter(
-            [(None, "response", None, 1), (1, "response", None, 1), (1, "revisit", 1, 1), (2, "revisit", 1, 1), (2, "revisit", 1, 1),
+            [(None, "revisit", 1, 1), (1, "response", None, 1), (1, "revisit", 1, 1), (2, "revisit", 1, 1), (2, "revisit", 1, 1),
              (1, "response", None, 10000), (3, "response", None, 0), (4, "revisit", 3, 0)]
         )
         assert all(r["payload_digest"] == base64.b32encode(hashlib.sha1(r["html"].encode()).digest()).decode() for r in found if r["html"] is not None)
@@ -577,6 +605,23 @@ def test_archives(spark):
     small = scratch_path(spark, "warc")
     warc.write_warc(frame, small, min_bytes=2)
     assert {r["record_type"] for r in warc.read_warc(spark, small).collect()} == {"response"}
+    nulls, anonymous = scratch_path(spark, "warc"), [(None, "u", "same"), (None, "v", "same"), (None, None, None)]
+    extra = spark.createDataFrame([(*r, 1, "x") for r in anonymous], "page_id long, url string, html string, digest int, refers_to string")
+    warc.write_warc(extra, nulls)
+    assert [(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.read_warc(spark, nulls).collect()] == [(None, "response", None)] * 3
+
+
+def test_op10(spark, sf):
+    rows = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").collect()
+    least, expected = {}, {}
+    for page_id, html in sorted(tuple(r) for r in rows):
+        payload = (html or "").encode()
+        first = least.setdefault(payload, page_id)
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        expected[page_id] = (len(payload), digest, "response" if first == page_id else "revisit", None if first == page_id else first)
+    found = warc.op10_warc(spark, sf).collect()
+    assert len(found) == len(rows)
+    assert {r["page_id"]: tuple(r)[1:] for r in found} == expected
 
 
 # ------------------------------------------------------------------ pipeline

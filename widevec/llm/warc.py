@@ -103,7 +103,8 @@ def write_warc(pages, path, min_bytes=0, roll_bytes=ROLL_BYTES, date=DATE):
     Of equal payloads of at least ``min_bytes`` bytes the row with the least page_id is the
     response and every other a revisit of it; rows that repeat id and payload revisit their
     own id. Null html is an empty payload, a null url is left out. Rows without a page_id
-    come first and are responses that nothing refers to.
+    come first; they revisit the least id that has their payload, and are responses, to which
+    nothing refers, where no row with an id has it.
 
     Digests and least ids are found by one narrow aggregation; which row revisits which then
     travels with the pages through the only shuffle of payloads, a range sort.
@@ -115,13 +116,13 @@ def write_warc(pages, path, min_bytes=0, roll_bytes=ROLL_BYTES, date=DATE):
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
     keys = written(
-        rows.filter(F.col("page_id").isNotNull() & (F.octet_length("html") >= min_bytes)).select(
+        rows.filter(F.octet_length("html") >= min_bytes).select(
             "page_id", F.unhex(F.sha1(F.col("html").cast("binary"))).alias("digest")
         ),
         "digests",
     )
     groups = keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
-    notes = keys.join(groups.filter("n > 1").drop("n"), "digest").distinct()
+    notes = keys.join(groups.filter("n > 1 AND refers_to IS NOT NULL").drop("n"), "digest").distinct()
     # A note comes just before the rows of its page; one page may have several payloads.
     noted = notes.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to")
     plain = rows.select("*", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("refers_to"))
