@@ -14,7 +14,7 @@ from collections import OrderedDict
 import numpy as np
 import pyarrow as pa
 
-from widevec.llm.common import claim, keeps, mixed, table
+from widevec.llm.common import claiming, keeps, mixed, table
 from widevec.llm.words import GAP, INK, sha256_hex, word_encoder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -122,8 +122,8 @@ def encode_texts(df, text="text", tokenizer=TOKENIZER, out="ids"):
     kept = [f for f in df.schema.fields if f.name != out]
     order = [f.name for f in kept]
 
+    @claiming("words")
     def run(batches):
-        claim("words")
         encoder = chunk_encoder(tokenizer)
         for batch in batches:
             ids = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]
@@ -166,8 +166,8 @@ def bpe_digests(docs):
     their way through Spark and back.
     """
 
+    @claiming("words")
     def run(batches):
-        claim("words")
         encoder = chunk_encoder(TOKENIZER)
         library = encoder.words.library
         for batch in batches:

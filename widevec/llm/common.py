@@ -1,6 +1,10 @@
 """What the operators of this subpackage share."""
 
+import contextlib
+import ctypes
 import gc
+import threading
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +14,11 @@ from widevec.sources.scratch import scratch_path
 
 # What operators keep in a Python worker between tasks, by operator.
 _kept = {}
+# A worker that has had no task for so many seconds gives up what it keeps: Spark holds on to
+# idle workers beside the ones that the next step uses.
+IDLE_SECONDS = 5.0
+_using, _ended = 0, 0.0
+_lock = threading.Lock()
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,18 +40,56 @@ def keeps(name, cache):
     return cache
 
 
-def claim(*names):
-    """Empty what other operators have kept in this worker, which Spark may have used for an
-    earlier step."""
-    dropped = False
-    for name, caches in _kept.items():
-        if name not in names:
-            for cache in caches:
-                dropped = dropped or bool(cache)
-                cache.clear()
+def claiming(name):
+    """For a function over a partition's batches: empties what other operators have kept in
+    this worker, which Spark may have used for an earlier step, and what its own operator
+    keeps once the worker has been idle for some seconds."""
+
+    def decorate(run):
+        def guarded(batches):
+            _begin(name)
+            try:
+                yield from run(batches)
+            finally:
+                _end()
+
+        return guarded
+
+    return decorate
+
+
+def _begin(name):
+    global _using
+    with _lock:
+        _using += 1
+        _empty(but=name)
+
+
+def _end():
+    global _using, _ended
+    with _lock:
+        _using -= 1
+        _ended = time.monotonic()
+    idle = threading.Timer(IDLE_SECONDS, _rest)
+    idle.daemon = True
+    idle.start()
+
+
+def _rest():
+    with _lock:
+        if not _using and time.monotonic() - _ended > 0.9 * IDLE_SECONDS:
+            _empty()
+
+
+def _empty(but=None):
+    dropped = [cache for name, caches in _kept.items() if name != but for cache in caches if cache]
+    for cache in dropped:
+        cache.clear()
     if dropped:
         gc.collect()
         pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def utf8(column):

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from widevec.llm.common import claim, keeps, table, written
+from widevec.llm.common import claiming, keeps, table, written
 from widevec.llm.words import sha256_hex
 
 WINDOW = 13
@@ -258,8 +258,8 @@ def _scanner(shipped, text, window, names, hits_only=False):
     """Adds what one block's automaton finds; with ``hits_only``, to rows that it finds in."""
     key = sha256_hex(repr((window, sorted(shipped.value, key=repr))).encode())
 
+    @claiming("decontamination")
     def run(batches):
-        claim("decontamination")
         for batch in batches:
             if key not in _built:
                 _built.clear()

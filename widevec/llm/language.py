@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-from widevec.llm.common import claim, keeps, table, utf8, written
+from widevec.llm.common import claiming, keeps, table, utf8, written
 
 VOCABULARY = "piece_bpe_32k.model"
 # The classifier is fitted on a hash sample of about so many labelled documents.
@@ -209,8 +209,8 @@ def fit_languages(docs, training_docs=TRAINING_DOCS, rounds=ROUNDS, vocabulary=V
 def _counter(shipped, languages, vocabulary):
     place = {lang: k for k, lang in enumerate(languages)}
 
+    @claiming("language")
     def run(batches):
-        claim("language")
         pieces, costs = _pieces(vocabulary), shipped.value.astype(np.float64)
         uses, seen = np.zeros(costs.shape), {}
 
@@ -300,8 +300,8 @@ def identify(docs, model, text="text"):
     names = kept.columns
     key = model_key(model)
 
+    @claiming("language")
     def run(batches):
-        claim("language")
         for batch in batches:
             if key not in _scorers:
                 _scorers.clear()

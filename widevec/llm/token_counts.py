@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from widevec.llm.common import claim, keeps, table
+from widevec.llm.common import claiming, keeps, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -119,8 +119,8 @@ def count_tokens(df, text="text", model=MODEL, out="n_tokens"):
     kept = [f for f in df.schema.fields if f.name != out]
     order = [f.name for f in kept]
 
+    @claiming("token_counts")
     def run(batches):
-        claim("token_counts")
         for batch in batches:
             counts = piece_counter(model).counts([t or "" for t in batch.column(text).to_pylist()])
             columns = [*[batch.column(name) for name in order], pa.array(counts, pa.int64())]
