@@ -435,8 +435,15 @@ def test_many_blocks_find_what_one_finds(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "written", lambda df, name, f=decontamination.written: (written.append(name), f(df, name))[1])
     many = decontamination.contamination(docs, bench, block_words=700).collect()
     assert sorted(map(str, one)) == sorted(map(str, many))
-    # The documents are written once, however many blocks there are.
-    assert written.count("documents") == 1 and sum(name.startswith("hits-") for name in written) > 3
+    for size in (10**6, 700):
+        # Cutting goes along in the same Python pass.
+        cut = decontamination.contamination(docs, bench, block_words=size, cut_longer_than=12)
+        apart = decontamination.without_spans(decontamination.contamination(docs, bench), longer_than=12)
+        assert cut._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert sorted(map(str, cut.collect())) == sorted(map(str, apart.collect()))
+        assert 0 < cut.count() < len(one)
+    # Each call with several blocks writes the documents once, however many blocks there are.
+    assert written.count("documents") == 2 and sum(name.startswith("hits-") for name in written) > 3
     assert sum(len(r["hit_items"]) for r in one) > 60
 
 

@@ -203,7 +203,7 @@ def item_blocks(items, window=WINDOW, block_words=BLOCK_WORDS):
         blocks *= 2
 
 
-def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_text="text", block_words=BLOCK_WORDS):
+def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_text="text", block_words=BLOCK_WORDS, cut_longer_than=None):
     """``docs`` with ``n_words`` (long), ``hit_spans`` (words from start up to end) and
     ``hit_items`` (ids of the items found, sorted as strings; a null last if any found item
     has no id, all of those counting as one).
@@ -214,6 +214,9 @@ def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id"
     them and gives the rows it hits, and these are joined back. Null and empty texts have no
     words, items without words are none, repeated items count once by id. Columns with the
     names of the new ones are replaced.
+
+    With ``cut_longer_than`` the result is that of ``without_spans``, in the same Python pass:
+    a second one in a stage would double the workers of every executor.
     """
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"),
@@ -223,6 +226,7 @@ def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id"
     found = docs.drop("n_words", "hit_spans", "hit_items")
     plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
     kinds = f"n_words long, hit_spans {SPANS_SQL}, hit_items array<string>"
+    cut = (lambda batches: batches) if cut_longer_than is None else _cutter(text, cut_longer_than, COVERAGE)
 
     def shipped(block):
         rows = placed.filter(F.col("block") == block).select("words", "names", "unnamed")
@@ -230,7 +234,8 @@ def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id"
         return docs.sparkSession.sparkContext.broadcast(held)
 
     if blocks == 1:
-        return found.mapInArrow(_scanner(shipped(0), text, window, found.columns), f"{plain}, {kinds}")
+        scan = _scanner(shipped(0), text, window, found.columns)
+        return found.mapInArrow(lambda batches: cut(scan(batches)), f"{plain}, {kinds}")
     row, held = "_row", "_held"
     rows = found.select(F.monotonically_increasing_id().alias(row), F.col(text).alias("text"), F.struct("*").alias(held))
     rows = written(rows, "documents")
@@ -241,9 +246,9 @@ def contamination(docs, benchmark, window=WINDOW, text="text", item_id="item_id"
         hits = part if hits is None else hits.unionByName(part)
     # A document is in a block's hits once.
     hits = hits.groupBy(row).agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.flatten(F.collect_list("hit_items")).alias("hit_items"))
-    joined = rows.join(hits, row, "left").select("text", held, "hit_spans", "hit_items")
-    held_kind = rows.schema[held].dataType.simpleString()
-    return joined.mapInArrow(_merge_blocks, f"`{held}` {held_kind}, {kinds}").select(f"{held}.*", "n_words", "hit_spans", "hit_items")
+    joined = rows.join(hits, row, "left").select(f"{held}.*", "hit_spans", "hit_items")
+    merge = _merger(text, found.columns)
+    return joined.mapInArrow(lambda batches: cut(merge(batches)), f"{plain}, {kinds}")
 
 
 def _columns(counts, spans, items):
@@ -280,14 +285,18 @@ def _scanner(shipped, text, window, names, hits_only=False):
     return run
 
 
-def _merge_blocks(batches):
+def _merger(text, names):
     """Words of each text, and what all blocks have found in it."""
-    for batch in batches:
-        counts = [len(word_list(content or b"")) for content in batch.column("text").cast(pa.binary()).to_pylist()]
-        spans = [_merged([(s["start"], s["end"]) for s in row or []]) for row in batch.column("hit_spans").to_pylist()]
-        items = [set(row or []) for row in batch.column("hit_items").to_pylist()]
-        columns = [batch.column(1), *_columns(counts, spans, items)]
-        yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[1], "n_words", "hit_spans", "hit_items"])
+
+    def run(batches):
+        for batch in batches:
+            counts = [len(word_list(content or b"")) for content in batch.column(text).cast(pa.binary()).to_pylist()]
+            spans = [_merged([(s["start"], s["end"]) for s in row or []]) for row in batch.column("hit_spans").to_pylist()]
+            items = [set(row or []) for row in batch.column("hit_items").to_pylist()]
+            columns = [*[batch.column(name) for name in names], *_columns(counts, spans, items)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "hit_spans", "hit_items"])
+
+    return run
 
 
 def hit_words():
@@ -302,20 +311,24 @@ def without_spans(found, longer_than=0, coverage=COVERAGE, text="text"):
     """Documents over the coverage limit go; of the others, spans of more than
     ``longer_than`` hit words are cut out of the text, from the first byte of their first
     word to the last of their last."""
-    kept = found.filter(~is_contaminated(coverage))
-    names = kept.columns
+    return found.mapInArrow(_cutter(text, longer_than, coverage), found.schema)
 
+
+def _cutter(text, longer_than, coverage):
     def run(batches):
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for row, spans in enumerate(batch.column("hit_spans").to_pylist()):
-                cut = [(s["start"], s["end"]) for s in spans if s["end"] - s["start"] > longer_than]
-                if cut:
+            texts, spans, kept = batch.column(text).to_pylist(), batch.column("hit_spans").to_pylist(), []
+            for row, n_words in enumerate(batch.column("n_words").to_pylist()):
+                hit = sum(s["end"] - s["start"] for s in spans[row])
+                kept.append(not (hit > 0 and hit * coverage >= n_words))
+                cut = [(s["start"], s["end"]) for s in spans[row] if s["end"] - s["start"] > longer_than]
+                if cut and kept[-1]:
                     texts[row] = _cut(texts[row].encode("utf-8"), cut).decode("utf-8")
+            names = batch.schema.names
             columns = [pa.array(texts, pa.string()) if n == text else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
-    return kept.mapInArrow(run, kept.schema)
+    return run
 
 
 def _cut(content, spans):
@@ -335,7 +348,7 @@ def keep_clean(docs, benchmark, lengths=("n_chars",)):
     spans of a whole window or more that they still hold of benchmark items. Where a span is
     cut, columns named in ``lengths`` become the new length of the text."""
     rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(c) for c in docs.columns]).alias("d_row"))
-    kept = without_spans(contamination(rows, benchmark), longer_than=WINDOW - 1)
+    kept = contamination(rows, benchmark, cut_longer_than=WINDOW - 1)
     cut = ~F.col("text").eqNullSafe(F.col("d_row.text"))
     own = {c: F.col("d_row").getField(c) for c in docs.columns}
     own["text"] = F.col("text")
