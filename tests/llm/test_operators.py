@@ -302,6 +302,46 @@ def test_near_duplicates_of_documents(spark, sf):
     assert collections.Counter(tuple(r) for r in near_dedup.op3_dart_minhash(spark, sf).collect()) == classes_brute(rows)
 
 
+def linked_brute(rows, threshold, weighted):
+    sets = [set(near_dedup.elements(text, weighted).tolist()) for _, text in rows]
+    least = [k for k, _ in rows]
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[a] & sets[b])
+        if least[a] != least[b] and common >= threshold * (len(sets[a]) + len(sets[b]) - common):
+            low, high = sorted((least[a], least[b]))
+            least = [low if x == high else x for x in least]
+    return {k: root for (k, _), root in zip(rows, least)}
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_near_duplicates_that_share_no_bucket(spark, weighted):
+    """At a similarity of 0.5 bands miss every other pair."""
+    rng = random.Random(1)
+    words_of = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(40):
+        base = words_of(100)
+        rows += [(2 * k, " ".join(base + base[:20])), (2 * k + 1, " ".join(base[:70] + words_of(25) + base[:20]))]
+    expected = linked_brute(rows, 0.5, weighted)
+    assert len(set(expected.values())) == 40
+    found = near_dedup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"), 0.5, weighted)
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == expected
+
+
+def test_near_duplicates_that_meet_no_centre(spark):
+    """400 texts leave out some of 80 passages each: all are alike, few enough to be linked."""
+    rng = random.Random(4)
+    passages = [" ".join(f"h{i}_{rng.randrange(10**6)}" for _ in range(6)) for i in range(80)]
+    rows = []
+    for k in range(400):
+        out = set(rng.sample(range(80), 7))
+        rows.append((k, " ".join(p for i, p in enumerate(passages) if i not in out)))
+    expected = linked_brute(rows, near_dedup.SIMILARITY, False)
+    assert 100 < len(set(expected.values())) < 200
+    found = near_dedup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == expected
+
+
 # ------------------------------------------------------------------ 4
 
 

@@ -5,7 +5,8 @@ into these regions at random ranks; a dart is the same in every text that holds
 with enough weight. Of the darts that fall to a coordinate, the one of least rank is kept,
 so two texts agree on a coordinate with a probability equal to their weighted Jaccard
 similarity. Bands of coordinates bring likely pairs together, and an exact check of their
-shingles decides.
+shingles decides. What no band brings together is found by prefixes of the shingle sets,
+which leave out no pair.
 """
 
 import math
@@ -13,6 +14,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from widevec.llm.common import claiming, mixed, table, unit, utf8, written
@@ -31,6 +33,12 @@ SKETCH_SHINGLES = 400_000
 SMALL = 16
 # Further bands by which larger buckets are split before components are told again.
 BANDS_AT_ONCE = 6
+# Frequent shingles come last in prefixes. They are told by slots, from one text of so many;
+# this decides how many candidates there are, never which pairs are found.
+LEVEL_SLOTS = 1 << 18
+LEVEL_TEXTS = 16
+# Bits that tell where shingles are wanted; a full one costs work, not results.
+WANTED_BITS = 1 << 23
 
 
 def shingle_hashes(words, size=SHINGLE):
@@ -265,6 +273,113 @@ def _star_pairs(large, bands):
     return met.select(*_pairs("node", "root", "c_node", "c_root"))
 
 
+def elements(text, weighted=False):
+    """A text's shingle hashes, each once; weighted, the second of a kind is another element,
+    and so on, so that the similarity of counts is that of these sets."""
+    hashes = np.sort(shingle_hashes(text_words(text)))
+    if not weighted:
+        return np.unique(hashes)
+    nth = np.arange(len(hashes)) - np.searchsorted(hashes, hashes)
+    return np.unique(np.where(nth, mixed(hashes ^ mixed(nth.astype(np.uint64), 7), 8), hashes))
+
+
+def _levels(texts, weighted):
+    """[slots] logarithms of how many texts of a part have the slot's most frequent shingle."""
+
+    @claiming("near_dedup")
+    def run(batches):
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found = elements(text or "", weighted).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found)], ["token"])
+
+    part = texts.filter(F.pmod(F.xxhash64("node"), F.lit(LEVEL_TEXTS)) == 0).dropDuplicates(["node"])
+    counts = part.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n"))
+    slots = counts.filter("n > 2").groupBy(F.pmod("token", F.lit(LEVEL_SLOTS)).alias("slot")).agg(F.max("n").alias("n"))
+    found = slots.toArrow()
+    levels = np.zeros(LEVEL_SLOTS, np.uint8)
+    levels[found["slot"].to_numpy()] = np.log2(found["n"].to_numpy()).astype(np.uint8)
+    return levels
+
+
+def _prefixes(texts, levels, threshold, weighted):
+    """(token, id, size, pos): the first elements of each text, rare ones before frequent ones.
+
+    Two sets of the wanted similarity have so many elements in common that, in any order,
+    the first of these is among the first of both.
+    """
+    shipped = texts.sparkSession.sparkContext.broadcast(levels)
+
+    @claiming("near_dedup")
+    def run(batches):
+        level = shipped.value
+        seen = set()
+        parts, held = [], 0
+
+        def settle():
+            tokens, ids, sizes = zip(*parts)
+            counts = [len(t) for t in tokens]
+            columns = [
+                np.concatenate(tokens).view(np.int64),
+                np.repeat(np.array(ids, np.int64), counts),
+                np.repeat(np.array(sizes, np.int32), counts),
+                np.concatenate([np.arange(n, dtype=np.int32) for n in counts]),
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "id", "size", "pos"])
+
+        for batch in batches:
+            for own, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                if own in seen:
+                    continue
+                # Forgetting only repeats rows.
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen.add(own)
+                found = elements(text or "", weighted)
+                if not len(found):
+                    continue
+                order = np.argsort(level[(found % np.uint64(LEVEL_SLOTS)).astype(np.int64)], kind="stable")
+                least = math.ceil(threshold * len(found) * (1 - 1e-9))
+                parts.append((found[order[: len(found) - least + 1]], own, len(found)))
+                held += len(parts[-1][0])
+                if held > SKETCH_SHINGLES // 4:
+                    yield settle()
+                    parts, held = [], 0
+        if parts:
+            yield settle()
+
+    keyed = texts.select(F.xxhash64("node").alias("id"), "text")
+    return keyed.mapInArrow(run, "token long, id long, size int, pos int")
+
+
+def _missed_pairs(texts, nodes, labels, threshold, weighted):
+    """All pairs of nodes of different components whose sizes and prefixes allow the wanted
+    similarity, whether or not they share a bucket; columns as those of ``_pairs``."""
+    at = Window.partitionBy("token")
+    told = labels.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
+    found = _prefixes(texts, _levels(texts, weighted), threshold, weighted)
+    found = found.withColumns({"low": F.min("id").over(at), "high": F.max("id").over(at)}).filter("low != high")
+    found = found.join(told, "id", "left").select("token", "id", "size", "pos", F.coalesce("root", "id").alias("root"))
+    found = found.withColumns({"low": F.min("root").over(at), "high": F.max("root").over(at)}).filter("low != high")
+    found = written(found.drop("low", "high").dropDuplicates(["token", "id"]), "prefixes")
+    other = found.select("token", *(F.col(n).alias(f"o_{n}") for n in ("id", "size", "pos", "root")))
+    size, o_size = F.col("size"), F.col("o_size")
+    share = threshold / (1 + threshold) * (1 - 1e-9)
+    wanted = (size + o_size) * share
+    smaller = (o_size < size) | ((o_size == size) & (F.col("o_id") < F.col("id")))
+    # Sets with so many common elements have one among those before which fewer remain, and
+    # for every position that these prefixes are longer one more.
+    longer = F.greatest(F.lit(0.0), F.least(size * ((1 - threshold) / 10), wanted - size * threshold))
+    remain = F.least(size - F.col("pos"), o_size - F.col("o_pos"))
+    near = smaller & (F.col("root") != F.col("o_root")) & (o_size >= size * (threshold * (1 - 1e-9))) & (remain >= wanted - longer)
+    met = found.join(other, "token").filter(near).groupBy("id", "o_id", "size", "o_size")
+    met = met.agg(F.max(remain >= wanted).alias("enough"), F.count("*").alias("common")).filter(F.col("enough") & (F.col("common") >= longer))
+    met = written(met.select("id", "o_id"), "missed")
+    named = nodes.join(labels, "node", "left").select(F.xxhash64("node").alias("id"), "node", F.coalesce("root", "node").alias("root"))
+    others = named.select(*(F.col(n).alias(f"o_{n}") for n in named.columns))
+    return met.join(named, "id").join(others, "o_id").select(*_pairs("node", "root", "o_node", "o_root"))
+
+
 def _live(members, labels):
     """Members of buckets that lie in several components, with their components."""
     told = members.join(labels, "node")
@@ -295,21 +410,24 @@ def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
     at most ``SMALL`` members that still holds several, every pair of different components
     meets. A larger one is split by each of the 23 further bands in turn, so that like
     members stay together, and each part compares its members with two of them, see
-    ``_star_pairs``. Work per bucket is thus in proportion to its members, however many;
-    nothing is capped. Similar texts of different components share some eight bands, so they
-    meet, or are linked through others, in dozens of parts.
+    ``_star_pairs``. Work per bucket is thus in proportion to its members, however many.
+
+    Similar texts that meet nowhere in this, or share no bucket, are left to ``_missed_pairs``:
+    all pairs of different components that a bound on their common shingles does not rule
+    out. No link is left to chance, whatever ``threshold`` is.
     """
     rows = docs.select("doc_id", F.unhex(F.md5(utf8(F.col("text")))).alias("node"), "text")
+    texts = rows.select("node", "text")
     named = written(rows.select("doc_id", "node"), "named")
-    sketches = written(_sketches(rows.select("node", "text"), weighted), "sketches")
+    sketches = written(_sketches(texts, weighted), "sketches")
     members = sketches.select(F.explode("buckets").alias("bucket"), "node")
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = written(members.join(shared, "bucket"), "members")
     degree = members.groupBy("node").agg(F.sum("size").alias("score"))
     degree = written(degree, "degree")
-    shingles = written(_shingles_of(rows, named, degree, weighted), "shingles")
+    shingles = written(_shingles_of(texts, degree, weighted), "shingles")
 
-    def linked(pairs):
+    def linked(pairs, shingles=shingles):
         return written(_verified(written(pairs.distinct(), "pairs"), shingles, threshold, weighted), "links")
 
     centre = members.join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("score", "node")).alias("centre"))
@@ -326,6 +444,14 @@ def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
         for first in range(1, BANDS, BANDS_AT_ONCE):
             stars = _star_pairs(_live(large, labels), range(first, min(BANDS, first + BANDS_AT_ONCE)))
             labels = _contracted(labels, linked(pairs.unionByName(stars) if first == 1 else stars))
+    missed = written(_missed_pairs(texts, sketches.select("node"), labels, threshold, weighted), "pairs")
+    if not missed.isEmpty():
+        ends = missed.select(F.explode(F.array("left", "right")).alias("node")).distinct()
+        alone = written(ends.join(degree, "node", "left_anti").select("node"), "alone")
+        further = _shingles_of(texts, alone, weighted).join(shingles.select("node"), "node", "left_anti")
+        shingles = shingles.unionByName(written(further, "shingles"))
+        labels = labels.unionByName(alone.select("node", F.col("node").alias("root")))
+        labels = _contracted(labels, linked(missed, shingles))
     joined = named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     several = least.groupBy("class_id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("class_id").isNotNull())
@@ -335,21 +461,42 @@ def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
     return joined.join(least, "root").select("doc_id", "node", "class_id", "root", "clash")
 
 
-def _shingles_of(rows, named, wanted, weighted):
-    """(node, shingles) of the wanted nodes, from one row of each."""
-    first = named.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
-    found = rows.join(
-        first.select(F.col("node").alias("n"), "first"),
-        (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first")),
-    )
+def _shingles_of(texts, wanted, weighted):
+    """(node, shingles) of the wanted nodes, and of the few others whose hashes fall together
+    with theirs. Texts are never shuffled: a bit for each hash goes to where they are."""
+    bit = F.pmod(F.xxhash64("node"), F.lit(WANTED_BITS))
+    bytes_ = wanted.select((bit % 8).cast("int").alias("bit"), F.shiftright(bit, 3).alias("byte"))
+    bytes_ = bytes_.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("bits")).toArrow()
+    marks = np.zeros(WANTED_BITS // 8, np.uint8)
+    marks[bytes_["byte"].to_numpy()] = bytes_["bits"].to_numpy()
+    shipped = texts.sparkSession.sparkContext.broadcast(marks)
 
     @claiming("near_dedup")
     def run(batches):
+        marks = shipped.value
+        seen = set()
         for batch in batches:
-            own = [shingle_bytes(text or "", weighted) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], ["node", "shingles"])
-
-    return found.select("node", "text").mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
+            bits = batch.column("bit").to_numpy()
+            hit = np.flatnonzero(marks[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
+            if not len(hit):
+                continue
+            batch = batch.take(pa.array(hit))
+            # A column at a time of some rows: long texts are not all hashed before any is sent.
+            for first in range(0, len(hit), 256):
+                nodes, own = [], []
+                part = batch.slice(first, 256)
+                for node, text in zip(part.column("node").to_pylist(), part.column("text").to_pylist()):
+                    if node not in seen:
+                        # Forgetting only repeats work.
+                        if len(seen) > 200_000:
+                            seen.clear()
+                        seen.add(node)
+                        nodes.append(node)
+                        own.append(shingle_bytes(text or "", weighted))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(own, pa.binary())], ["node", "shingles"])
+
+    found = texts.select("node", "text", bit.alias("bit")).mapInArrow(run, "node binary, shingles binary")
+    return found.dropDuplicates(["node"])
 
 
 def keep_one_each(docs):
