@@ -1,4 +1,5 @@
 import json
+import weakref
 
 import brute
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import widevec as wv
-from widevec.functions.tokens import slices
+from widevec.functions.tokens import encode_fixed_udf, encode_udf, slices
 from widevec.tokenizer import gather_ragged, list_parts, pad_fixed, to_list_array
 
 BYTES = wv.ByteTokenizer()
@@ -279,5 +280,42 @@ def test_bad_definitions_raise(spark, config, tmp_path):
 
 def test_null_ids_are_refused():
     with pytest.raises(ValueError, match="null among"):
-        wv.ByteTokenizer().decode(pa.array([[100, None, 101]], pa.list_(pa.int32())))
-    assert wv.ByteTokenizer().decode(pa.array([None, [100]], pa.list_(pa.int32()))).to_pylist() == [b"", b"a"]
+        wv.BYTES.decode(pa.array([[100, None, 101]], pa.list_(pa.int32())))
+    assert wv.BYTES.decode(pa.array([None, [100]], pa.list_(pa.int32()))).to_pylist() == [b"", b"a"]
+
+
+class Watched:
+    """A tokenizer that notes how many values it is given at a time."""
+
+    def __init__(self):
+        self.given = []
+
+    def open(self):
+        return self
+
+    def encode(self, texts):
+        self.given.append(int(list_parts(texts)[1].sum()))
+        return BYTES.encode(texts)
+
+    def decode(self, ids):
+        self.given.append(int(list_parts(ids)[1].sum()))
+        return BYTES.decode(ids)
+
+
+def batches_once(make):
+    """An empty batch, then batches of which none is held when the next one is asked for."""
+    yield make(0)
+    for _ in range(3):
+        batch = make(3000)
+        held = weakref.ref(batch)
+        yield batch
+        del batch
+        assert held() is None
+
+
+@pytest.mark.parametrize("udf", [lambda t: encode_udf(t), lambda t: encode_fixed_udf(t, 64)])
+def test_encoding_takes_small_pieces_and_holds_no_batch(udf):
+    tokenizer = Watched()
+    found = [len(part) for part in udf(tokenizer).func(batches_once(lambda n: pa.array([b"a" * 999] * n, pa.binary())))]
+    assert sum(found) == 9000
+    assert sum(tokenizer.given) == 9000 * 999 and max(tokenizer.given) <= 1 << 20

@@ -22,8 +22,9 @@ from widevec.tokenizer import BYTE_OFFSET, EOS_ID, PAD_ID, list_parts, pad_fixed
 TOKENS = T.ArrayType(T.IntegerType(), False)
 FIXED_TOKENS = T.StructType([T.StructField("ids", TOKENS), T.StructField("n", T.IntegerType())])
 
-# Values made at a time, so that a batch of very long lists is not expanded at once.
-SLICE_VALUES = 16 * 1024 * 1024
+# Values made at a time, so that a batch of very long lists is not expanded at once. Encoding
+# and decoding hold some hundred bytes for each, whatever the size of a batch.
+SLICE_VALUES = 512 * 1024
 SLICE_ROWS = 4096
 
 
@@ -62,6 +63,8 @@ def encode_udf(tokenizer, pushdown=False):
         for texts in batches:
             for piece in slices(texts):
                 yield to_list_array(*encoder.encode(piece))
+            # Not to be held while the next one is read.
+            texts = piece = None
 
     return call_once(arrow_udf(encode, TOKENS), pushdown)
 
@@ -79,6 +82,7 @@ def encode_fixed_udf(tokenizer, max_len, pushdown=False):
                 lists = to_list_array(ids.ravel(), [max_len] * len(ids))
                 real = pa.array(mask.sum(axis=1), pa.int32())
                 yield pa.StructArray.from_arrays([lists, real], names=["ids", "n"])
+            texts = piece = None
 
     return call_once(arrow_udf(encode, FIXED_TOKENS), pushdown)
 
