@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import widevec as wv
-from widevec.functions.tokens import encode_fixed_udf, encode_udf, slices
+from widevec.functions.tokens import decode_udf, encode_fixed_udf, encode_udf, slices
 from widevec.tokenizer import gather_ragged, list_parts, pad_fixed, to_list_array
 
 BYTES = wv.ByteTokenizer()
@@ -319,3 +319,11 @@ def test_encoding_takes_small_pieces_and_holds_no_batch(udf):
     found = [len(part) for part in udf(tokenizer).func(batches_once(lambda n: pa.array([b"a" * 999] * n, pa.binary())))]
     assert sum(found) == 9000
     assert sum(tokenizer.given) == 9000 * 999 and max(tokenizer.given) <= 1 << 20
+
+
+def test_decoding_takes_small_pieces_and_holds_no_batch(spark):
+    tokenizer = Watched()
+    one = pa.scalar([100] * 999, pa.list_(pa.int32()))
+    found = [part for part in decode_udf(tokenizer, "binary").func(batches_once(lambda n: pa.array([one.as_py()] * n, one.type)))]
+    assert sum(map(len, found)) == 9000
+    assert sum(tokenizer.given) == 9000 * 999 and max(tokenizer.given) <= 1 << 20

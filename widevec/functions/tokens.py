@@ -93,6 +93,7 @@ def decode_udf(tokenizer, result_type, pushdown=False):
         for ids in batches:
             for piece in slices(ids):
                 yield encoder.decode(piece)
+            ids = piece = None
 
     return call_once(arrow_udf(decode, result_type), pushdown)
 
