@@ -338,8 +338,10 @@ def test_near_duplicates_that_meet_no_centre(spark):
         rows.append((k, " ".join(p for i, p in enumerate(passages) if i not in out)))
     expected = linked_brute(rows, near_dedup.SIMILARITY, False)
     assert 100 < len(set(expected.values())) < 200
-    found = near_dedup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == expected
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.duplicate_classes(frame).collect()} == expected
+    # The step of the pipeline keeps one of each.
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, None).collect()) == sorted(set(expected.values()))
 
 
 # ------------------------------------------------------------------ 4
