@@ -13,6 +13,7 @@ import duckdb
 import numpy as np
 import oracle
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -171,6 +172,39 @@ def test_op2(spark, sf):
         at += len(ids)
 
 
+@pytest.mark.parametrize("size", [1, 60, words.BLOCK_BYTES])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_blocks_of_texts_hold_the_ids_of_the_library(name, size, monkeypatch):
+    monkeypatch.setattr(words, "BLOCK_BYTES", size)
+    rng = random.Random(3)
+    signs = [*"aZé×9,.'\u2019 \n\t-<\x00\x1c\x7f\x85\xa0\u1680\u2003\u2028\u205f\u3000\u2018か字Ж½", "<|endoftext|>", "'s", " the", "\r\n"]
+    texts = [t or "" for t in ODD]
+    for _ in range(1500):
+        some = rng.sample(signs, rng.choice([3, 6, len(signs)]))
+        texts.append("".join(rng.choice(some) for _ in range(rng.choice([1, 3, 9, 40]))))
+    found = []
+    # A part of a column: its buffers begin before it.
+    for ids, sizes in words.WordEncoder(public_tokenizers.path(name)).blocks(pa.array(["é before", *texts]).slice(1), 7):
+        found += [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    whole = library(name)
+    assert found == [[*whole.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+
+
+def test_a_block_looks_up_each_distinct_word_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, word):
+            self.asked += 1
+            return super().get(word)
+
+    encoder = words.WordEncoder(public_tokenizers.path(token_files.TOKENIZER))
+    encoder.known = Counted()
+    texts = [" ".join(f"word{'abcdefgh'[(k + i) % 8]}" for i in range(50)) for k in range(200)]
+    list(encoder.blocks(pa.array(texts), 0))
+    assert encoder.known.asked <= 16
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_word_and_chunk_encoders_equal_the_library(name):
     found = library(name)

@@ -57,15 +57,12 @@ def write_token_files(docs, path, tokenizer=TOKENIZER, end_id=END_ID, width=2, i
         with committed(f"{stem}.tokens") as out:
             while first is not None:
                 encoder = encoder or word_encoder(tokenizer)
-                ends = []
-                for text in first.column("text").to_pylist():
-                    found = np.frombuffer(encoder.encode(text), "<u4")
-                    if len(found) and int(found.max()) >= 1 << (8 * width):
+                for found, sizes in encoder.blocks(first.column("text"), end_id):
+                    if int(found.max()) >= 1 << (8 * width):
                         raise ValueError(f"an id does not fit into {width} bytes")
-                    out.write(np.append(found, np.uint32(end_id)).astype(dtype).tobytes())
-                    at += len(found) + 1
-                    ends.append(at)
-                offsets.append(np.array(ends, np.int64))
+                    out.write(found.astype(dtype).tobytes())
+                    offsets.append(at + np.cumsum(sizes))
+                    at += len(found)
                 ids.append(first.column("doc_id").fill_null(NO_ID).to_numpy())
                 first = next(batches, None)
         with committed(f"{stem}.offsets") as out:
