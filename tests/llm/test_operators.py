@@ -336,6 +336,49 @@ def test_near_duplicates_of_documents(spark, sf):
     assert collections.Counter(tuple(r) for r in near_dedup.op3_dart_minhash(spark, sf).collect()) == classes_brute(rows)
 
 
+def test_python_is_given_near_duplicates_in_small_batches(spark, tmp_path, monkeypatch):
+    """Of 7 MB of texts in one partition, workers hold a few MB at a time in every step."""
+    told = str(tmp_path)
+
+    def watched(name):
+        def decorate(run):
+            def measured(batches):
+                import tracemalloc
+
+                most = [0]
+
+                def each():
+                    for batch in batches:
+                        most[0] = max(most[0], batch.nbytes)
+                        yield batch
+
+                tracemalloc.start()
+                yield from run(each())
+                peak = tracemalloc.get_traced_memory()[1]
+                tracemalloc.stop()
+                with open(f"{told}/{random.random()}", "w") as out:
+                    out.write(f"{most[0]} {peak}")
+
+            return measured
+
+        return decorate
+
+    monkeypatch.setattr(near_dedup, "claiming", watched)
+    rng = random.Random(7)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(600))) for k in range(1500)]
+    rows += [(2000 + k, f"{text} x") for k, text in rows[:700]]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_dedup.duplicate_classes(frame).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in found} == {(k, k % 2000) for k, _ in rows}
+    sizes = [tuple(map(int, path.read_text().split())) for path in tmp_path.iterdir()]
+    assert sum(n for n, _ in sizes) > 0
+    assert max(n for n, _ in sizes) < 3 << 20
+    assert max(peak for _, peak in sizes) < 40 << 20
+    assert spark.conf.get(key, None) == before
+
+
 def linked_brute(rows, threshold, weighted):
     sets = [set(near_dedup.elements(text, weighted).tolist()) for _, text in rows]
     least = [k for k, _ in rows]

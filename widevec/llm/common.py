@@ -17,6 +17,8 @@ _kept = {}
 # A worker that has had no task for so many seconds gives up what it keeps: Spark holds on to
 # idle workers beside the ones that the next step uses.
 IDLE_SECONDS = 5.0
+# Of rows that Spark and a Python worker hold at a time.
+BATCH_BYTES = 2 << 20
 _using, _ended = 0, 0.0
 _lock = threading.Lock()
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -34,6 +36,23 @@ def written(df, name, mode="errorifexists"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark):
+    """Jobs started inside hand their rows to Python in batches of about ``BATCH_BYTES``, by
+    whatever row they end with, unless the session has a limit of its own. Batches are held
+    on both sides, by Spark outside its heap, for every task: with the 64 MB and 10,000 rows
+    that are Spark's defaults they are a good part of a small executor."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def keeps(name, cache):
     """Declare a worker's cache, a dict, as that of an operator; returns it."""
     _kept.setdefault(name, []).append(cache)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from widevec.llm.common import claiming, mixed, table, unit, utf8, written
+from widevec.llm.common import claiming, mixed, small_batches, table, unit, utf8, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -27,8 +27,8 @@ BANDS = 24
 ROWS = 5
 # The first rank cell; each further one is as wide as all before it.
 FIRST_RANK = 1 / 64
-# Shingles that are sketched together.
-SKETCH_SHINGLES = 400_000
+# Shingles that are sketched together, and rows of prefixes that are sent together.
+SKETCH_SHINGLES = 100_000
 # Members of a bucket whose components all meet in pairs.
 SMALL = 16
 # Further bands by which larger buckets are split before components are told again.
@@ -342,7 +342,7 @@ def _prefixes(texts, levels, threshold, weighted):
                 least = math.ceil(threshold * len(found) * (1 - 1e-9))
                 parts.append((found[order[: len(found) - least + 1]], own, len(found)))
                 held += len(parts[-1][0])
-                if held > SKETCH_SHINGLES // 4:
+                if held > SKETCH_SHINGLES:
                     yield settle()
                     parts, held = [], 0
         if parts:
@@ -395,30 +395,8 @@ def _contracted(labels, found):
     return written(labels.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root")), "labels")
 
 
-def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
-    """(doc_id, node, class_id, root, clash) per row of ``docs`` (doc_id, text): equal texts
-    share a node, and class_id is the least doc_id among all texts linked to each other.
-
-    Null and empty texts are one node. Texts without words are near nothing but themselves;
-    texts of fewer than five words are one shingle. Case and the kind of white space do not
-    count. root, the least node, is what tells classes apart: class_id is null where every
-    doc_id of the class is, and unrelated texts under one doc_id may have it in common.
-    clash is whether class_id is so, null or that of other classes too.
-
-    Equal texts collapse before anything else. First one member of each bucket, that with
-    most bucket mates, meets all others, and linked texts become components. In a bucket of
-    at most ``SMALL`` members that still holds several, every pair of different components
-    meets. A larger one is split by each of the 23 further bands in turn, so that like
-    members stay together, and each part compares its members with two of them, see
-    ``_star_pairs``. Work per bucket is thus in proportion to its members, however many.
-
-    Similar texts that meet nowhere in this, or share no bucket, are left to ``_missed_pairs``:
-    all pairs of different components that a bound on their common shingles does not rule
-    out. No link is left to chance, whatever ``threshold`` is.
-    """
-    rows = docs.select("doc_id", F.unhex(F.md5(utf8(F.col("text")))).alias("node"), "text")
-    texts = rows.select("node", "text")
-    named = written(rows.select("doc_id", "node"), "named")
+def _labels(texts, threshold, weighted):
+    """(node, root) of the texts that share a bucket or are linked; all others are alone."""
     sketches = written(_sketches(texts, weighted), "sketches")
     members = sketches.select(F.explode("buckets").alias("bucket"), "node")
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -452,6 +430,34 @@ def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
         shingles = shingles.unionByName(written(further, "shingles"))
         labels = labels.unionByName(alone.select("node", F.col("node").alias("root")))
         labels = _contracted(labels, linked(missed, shingles))
+    return labels
+
+
+def duplicate_classes(docs, threshold=SIMILARITY, weighted=False):
+    """(doc_id, node, class_id, root, clash) per row of ``docs`` (doc_id, text): equal texts
+    share a node, and class_id is the least doc_id among all texts linked to each other.
+
+    Null and empty texts are one node. Texts without words are near nothing but themselves;
+    texts of fewer than five words are one shingle. Case and the kind of white space do not
+    count. root, the least node, is what tells classes apart: class_id is null where every
+    doc_id of the class is, and unrelated texts under one doc_id may have it in common.
+    clash is whether class_id is so, null or that of other classes too.
+
+    Equal texts collapse before anything else. First one member of each bucket, that with
+    most bucket mates, meets all others, and linked texts become components. In a bucket of
+    at most ``SMALL`` members that still holds several, every pair of different components
+    meets. A larger one is split by each of the 23 further bands in turn, so that like
+    members stay together, and each part compares its members with two of them, see
+    ``_star_pairs``. Work per bucket is thus in proportion to its members, however many.
+
+    Similar texts that meet nowhere in this, or share no bucket, are left to ``_missed_pairs``:
+    all pairs of different components that a bound on their common shingles does not rule
+    out. No link is left to chance, whatever ``threshold`` is.
+    """
+    rows = docs.select("doc_id", F.unhex(F.md5(utf8(F.col("text")))).alias("node"), "text")
+    named = written(rows.select("doc_id", "node"), "named")
+    with small_batches(docs.sparkSession):
+        labels = _labels(rows.select("node", "text"), threshold, weighted)
     joined = named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     several = least.groupBy("class_id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("class_id").isNotNull())
