@@ -379,6 +379,48 @@ def test_python_is_given_near_duplicates_in_small_batches(spark, tmp_path, monke
     assert spark.conf.get(key, None) == before
 
 
+def test_python_is_given_stages_of_the_pipeline_in_small_batches(spark, sf, tmp_path, monkeypatch):
+    """Of 7 MB of texts in one partition, workers hold a few MB at a time; the session's limit is its own again."""
+    told = str(tmp_path)
+
+    def watched(name):
+        def decorate(run):
+            def measured(batches):
+                most = [0]
+
+                def each():
+                    for batch in batches:
+                        most[0] = max(most[0], batch.nbytes)
+                        yield batch
+
+                yield from run(each())
+                with open(f"{told}/{name}-{random.random()}", "w") as out:
+                    out.write(f"{most[0]}")
+
+            return measured
+
+        return decorate
+
+    for module in (language, decontamination, bpe):
+        monkeypatch.setattr(module, "claiming", watched)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    rng = random.Random(7)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(600)), "xx") for k in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    for stage, name in ((corpus_pipeline.language, "language"), (corpus_pipeline.decontamination, "decontamination"), (corpus_pipeline.bpe, "words")):
+        assert sorted(r["doc_id"] for r in stage(spark, frame, sf).drop("text").collect()) == list(range(1500))
+        sizes = [int(path.read_text()) for path in tmp_path.iterdir() if path.name.startswith(name)]
+        assert 1 << 20 < max(sizes) < 3 << 20
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "64m")
+    try:
+        assert corpus_pipeline.bpe(spark, frame.limit(1), sf).count() == 1
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.unset(key)
+
+
 def linked_brute(rows, threshold, weighted):
     sets = [set(near_dedup.elements(text, weighted).tolist()) for _, text in rows]
     least = [k for k, _ in rows]

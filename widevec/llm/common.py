@@ -19,6 +19,9 @@ _kept = {}
 IDLE_SECONDS = 5.0
 # Of rows that Spark and a Python worker hold at a time.
 BATCH_BYTES = 2 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+# So spelt, a limit is one of ``hold_small_batches``, not of the user.
+_HELD = f"{BATCH_BYTES}b"
 _using, _ended = 0, 0.0
 _lock = threading.Lock()
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -42,15 +45,27 @@ def small_batches(spark):
     whatever row they end with, unless the session has a limit of its own. Batches are held
     on both sides, by Spark outside its heap, for every task: with the 64 MB and 10,000 rows
     that are Spark's defaults they are a good part of a small executor."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is not None:
+    if spark.conf.get(_BATCH_LIMIT, None) is not None:
         yield
         return
-    spark.conf.set(key, BATCH_BYTES)
+    spark.conf.set(_BATCH_LIMIT, BATCH_BYTES)
     try:
         yield
     finally:
-        spark.conf.unset(key)
+        spark.conf.unset(_BATCH_LIMIT)
+
+
+def hold_small_batches(spark):
+    """As ``small_batches``, for jobs that start after the caller has returned a frame, and
+    until ``release_batches``."""
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, _HELD)
+
+
+def release_batches(spark):
+    """Takes back the limit of ``hold_small_batches``, and no other."""
+    if spark.conf.get(_BATCH_LIMIT, None) == _HELD:
+        spark.conf.unset(_BATCH_LIMIT)
 
 
 def keeps(name, cache):
